@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import encode, reading
+from plumbline.llm import encode, leakage, reading, residue
 from plumbline.session import table
 
 
@@ -22,5 +22,21 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return p10_found(spark, d).join(docs, "doc_id").groupBy("doc_type", "band").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p10_found, p10_profile)}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.find_residue(table(spark, d, "descriptions"), "desc_id", "description").select("desc_id")
+
+
+def p5_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return residue.find_residue(table(spark, d, "descriptions"), "desc_id", "description").groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "text")
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    return p9_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_kinds, p9_found, p9_items, p8_ids, p10_found, p10_profile)}
 ORACLE: dict[str, str] = {}
