@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import encode, leakage, reading, residue
+from plumbline.llm import crossmatch, encode, leakage, names, reading, residue
 from plumbline.session import table
 
 
@@ -38,5 +38,28 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_kinds, p9_found, p9_items, p8_ids, p10_found, p10_profile)}
+def _greenbook(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "greenbook_enrichment").withColumn("agency_name", F.col("matched_from.agency_name"))
+
+
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs with their confidence."""
+    return crossmatch.match_offices(_greenbook(spark, d), table(spark, d, "agency_contacts"), table(spark, d, "registry"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_links(spark, d).select("enrichment_id", "contact_id")
+
+
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    """Each linked row with its posterior."""
+    rows, registry = _greenbook(spark, d), table(spark, d, "registry")
+    return names.link_variants(rows.where("entity_id is null"), rows.where("entity_id is not null"), registry, "enrichment_id", "agency_name", "entity_id", "id", "name")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_links(spark, d).select("enrichment_id", "entity_id")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_links, p4_found, p4_links, p5_found, p5_kinds, p9_found, p9_items, p8_ids, p10_found, p10_profile)}
 ORACLE: dict[str, str] = {}
