@@ -183,11 +183,16 @@ def is_challenge(title: Column, text: Column) -> Column:
     return both.rlike(r"(?i)just a moment|verify(?:ing)? (?:that )?you are (?:a )?human|checking your browser|attention required|access denied|are you a robot|security check")
 
 
+def strip(c: Column) -> Column:
+    """White space of any kind cut at both ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def truncated(c: Column, limit: int = MAX_TEXT) -> Column:
     """SRT-7: struct(text, truncated)."""
-    t = F.trim(F.coalesce(c, F.lit("")))
+    t = strip(F.coalesce(c, F.lit("")))
     long = F.length(t) > limit
-    return F.struct(F.when(long, F.rtrim(F.left(t, F.lit(limit)))).otherwise(t).alias("text"), long.alias("truncated"))
+    return F.struct(F.when(long, strip(F.left(t, F.lit(limit)))).otherwise(t).alias("text"), long.alias("truncated"))
 
 
 def is_not_found(c: Column) -> Column:

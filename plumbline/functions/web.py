@@ -322,7 +322,7 @@ main_text = _as_udf(read_main_text, _S)
 link_header = _as_udf(read_link_header, T.ArrayType(HEADER_LINK))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     """SCL-16: an address resolved against its page; '' if that can't be done."""
 
@@ -335,7 +335,7 @@ def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([one(b, h) for b, h in zip(base, href)], dtype=object)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def url_join_all(base: pd.Series, hrefs: pd.Series) -> pd.Series:
     def one(b, h):
         try:
@@ -346,7 +346,7 @@ def url_join_all(base: pd.Series, hrefs: pd.Series) -> pd.Series:
     return pd.Series([[one(b, h) for h in (hs if hs is not None else [])] for b, hs in zip(base, hrefs)], dtype=object)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def robots_allows(robots: pd.Series, agent: pd.Series, url: pd.Series) -> pd.Series:
     """SCL-45: the standard library's reading (first match wins), which differs from robots_decision()."""
 
@@ -390,7 +390,7 @@ def robots_decision(parsed: Column, token: Column, path: Column) -> Column:
     grp = F.when(F.size(own) > 0, "own").when(F.size(star) > 0, "*").otherwise("none")
     rules = F.flatten(F.transform(F.when(F.size(own) > 0, own).otherwise(star), lambda g: g["rules"]))
     at = norm_robots_path(path)
-    hits = F.filter(rules, lambda r: (r["path"] != "") & at.rlike(robots_pattern(norm_robots_path(r["path"]))))
+    hits = F.filter(rules, lambda r: (r["path"] != "") & F.rlike(at, robots_pattern(norm_robots_path(r["path"]))))
     ranked = F.transform(hits, lambda r: F.struct(F.length(norm_robots_path(r["path"])).alias("n"), (r["kind"] == "allow").cast("int").alias("ok"), F.concat(F.initcap(r["kind"]), F.lit(": "), r["path"]).alias("rule")))
     best = F.array_max(ranked)
     free = at == "/robots.txt"

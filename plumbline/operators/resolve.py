@@ -276,7 +276,7 @@ def title_names_level(title: Column, level: Column, place: Column, needs_level:
     does (``both``: other levels that have a place of this name)."""
     t = F.concat(F.lit(" "), text.norm_title(title), F.lit(" "))
     phrase = lambda l: t.contains(F.concat(F.lit(" "), l, F.lit(" of "), place, F.lit(" "))) | t.contains(F.concat(F.lit(" "), place, F.lit(" "), l, F.lit(" ")))
-    joint = t.rlike(F.concat(F.lit(r" (?:town|village|city) and (?:town|village|city) of "), place, F.lit(" ")))
+    joint = F.rlike(t, F.concat(F.lit(r" (?:town|village|city) and (?:town|village|city) of "), place, F.lit(" ")))
     rival = F.exists(both, lambda o: (o != level) & phrase(o))
     return ~joint & (~needs_level | (phrase(level) & ~rival))
 

@@ -26,7 +26,8 @@ def failure_streaks(log: DataFrame, run: str, order: str, host: str, failed: Col
 
 def pacing(log: DataFrame, host: str, ts: str, floor: float | Column = FLOOR) -> DataFrame:
     """WIN-4: adds gap_s to the host's request before, and too_soon."""
-    gap = F.unix_micros(F.col(ts)) - F.unix_micros(F.lag(ts).over(Window.partitionBy(host).orderBy(ts)))
+    at = F.col(ts).cast("timestamp")  # times without a zone are read in the session's
+    gap = F.unix_micros(at) - F.unix_micros(F.lag(at).over(Window.partitionBy(host).orderBy(ts)))
     floor = floor if isinstance(floor, Column) else F.lit(floor)
     return log.withColumn("gap_s", gap / 1e6).withColumn("too_soon", F.coalesce(F.col("gap_s") < floor, F.lit(False)))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plumbline.plans import data_problems
+from plumbline.plans import data_problems, registry_queries, run_queries
 
-_MODULES = [data_problems]
+_MODULES = [data_problems, registry_queries, run_queries]
 QUERIES = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
 ORACLE = {k: q for m in _MODULES for k, q in m.ORACLE.items()}
-FLAGSHIP = QUERIES["p6_found"]
+FLAGSHIP = QUERIES["host_rollup"]

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from plumbline.functions import hosts, text
 from plumbline.operators import quality
 
-ENTITY = T.StructType.fromDDL(
+ENTITY = (
     "id string, name string, short_name string, other_names array<struct<name:string,note:string>>, government_level string, classification string, "
     "parent_id string, child_ids array<string>, identifiers array<struct<scheme:string,identifier:string>>, "
     "web_properties array<struct<domain:string,role:string,valid_from:string,valid_to:string,notes:string>>, "
@@ -18,7 +18,7 @@ ENTITY = T.StructType.fromDDL(
     "status string, founding_date string, dissolution_date string, links array<struct<url:string,note:string>>, "
     "contact_details array<struct<type:string,value:string,note:string>>, provenance struct<sources:array<string>,last_verified:string>"
 )
-RESULT = T.StructType.fromDDL("run_id string, host string, page_url string, test string, identity string, verdict string, evidence string, evidence_sha256 string, ts timestamp, seq long")
+RESULT = "run_id string, host string, page_url string, test string, identity string, verdict string, evidence string, evidence_sha256 string, ts timestamp, seq long"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -26,15 +26,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
 
 
-def json_array(spark: SparkSession, path: str, key: str, element: T.StructType) -> DataFrame:
+def json_array(spark: SparkSession, path: str, key: str, element: str) -> DataFrame:
     """SRC-1, 2, 6, 10, 12: the array under ``key`` of a JSON document as rows; a missing file is an empty table."""
     if not _exists(spark, path):
         return spark.createDataFrame([], element)
-    doc = spark.read.schema(T.StructType([T.StructField(key, T.ArrayType(element))])).option("multiLine", True).json(path)
+    kind = T.ArrayType(T.StructType.fromDDL(element))
+    doc = spark.read.schema(T.StructType([T.StructField(key, kind)])).option("multiLine", True).json(path)
     return doc.selectExpr(f"inline({key})")
 
 
-def json_lines(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
     """SRC-29, 30: JSON lines; torn lines are dropped, or refused if ``strict``."""
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
