@@ -55,12 +55,30 @@ def leaders(records: DataFrame) -> DataFrame:
 
 
 def mint_ids(rows: DataFrame, name: str, order: str, used: DataFrame, out: str = "id") -> DataFrame:
-    """AGG-24: a slug of the name; of equal slugs, and where one is used, the next gets -2, -3 and so on. ``used(id)``.
-    Numbers that are taken are passed over, so the loop ends after as many rounds as the longest run of taken ones."""
+    """AGG-24: a slug of the name; of equal slugs, and where one is used, the next gets -2, -3 and so on, passing over
+    numbers that are taken. ``used(id)``, ``order`` unique. An id that two different slugs come to is the first row's,
+    and the other is numbered again; each round settles a row at least, and one is nearly always enough."""
+    todo, taken, done = rows, used.select("id"), None
+    while True:
+        got = written(_number(todo, name, order, taken, out), "minted")
+        first = got.groupBy(out).agg(F.min(order).alias("__first"), F.count("*").alias("__n"))
+        clash = written(got.join(first.where("__n > 1"), out), "clash")
+        if clash.isEmpty():
+            return got if done is None else done.unionByName(got)
+        slug = text.slug(F.col(name)).alias("__s")
+        lost = clash.where(F.col(order) > F.col("__first")).groupBy(slug).agg(F.min(order).alias("__from"))
+        again = got.select(order, slug).join(lost, "__s").where(F.col(order) >= F.col("__from")).select(order)
+        again = written(again, "again")
+        kept = got.join(again, order, "left_anti")
+        done = kept if done is None else done.unionByName(kept)
+        todo, taken = rows.join(again, order, "left_semi"), used.select("id").unionByName(done.select(F.col(out).alias("id")))
+
+
+def _number(rows: DataFrame, name: str, order: str, used: DataFrame, out: str) -> DataFrame:
     base = rows.withColumn("__slug", text.slug(F.col(name)))
-    taken = used.select("id").withColumns({"__slug": F.regexp_replace("id", r"-\d+$", ""), "__n": F.coalesce(F.expr("try_cast(regexp_extract(id, '-(\\\\d+)$', 1) as int)"), F.lit(1))})
-    whole = used.select("id").withColumns({"__slug": F.col("id"), "__n": F.lit(1)})
-    takes = taken.unionByName(whole).groupBy("__slug").agg(F.sort_array(F.collect_set("__n")).alias("__taken"))
+    end = F.regexp_extract("id", r"-([1-9]\d{0,8})$", 1)
+    numbered = used.where(end != "").select(F.regexp_replace("id", r"-\d+$", "").alias("__slug"), end.cast("int").alias("__n")).where("__n > 1")
+    takes = used.select(F.col("id").alias("__slug"), F.lit(1).alias("__n")).unionByName(numbered).groupBy("__slug").agg(F.sort_array(F.collect_set("__n")).alias("__taken"))
     ranked = base.withColumn("__rank", F.row_number().over(Window.partitionBy("__slug").orderBy(order))).join(takes, "__slug", "left")
     # the rank-th number that isn't taken: count on past each taken number not above it
     number = F.aggregate(F.coalesce("__taken", F.array().cast("array<int>")), F.col("__rank"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
