@@ -37,8 +37,8 @@ FOREIGN = frozenset(
 )
 # Spellings in which an e is silent or vowels that stand together are two syllables.
 _VOWELS = re.compile(r"[aeiouy]+")
-_SILENT = re.compile(r"(?:[^laeiouy]e|[^aeiouy]les?|[^tdaeiouy]ed|[^aeiouy]ely|[^aeiouyscgxz]es|eful|eless|ement)$")
-_TWO = re.compile(r"ia(?!n?t|l)|i[ou](?!us|n)|eo(?!n)|ua(?!rd)|ue[nt]|[aeiouy]ing|io$|ius|uou|yo|iet|dnt$|sm$")
+_SILENT = re.compile(r"(?:[^laeiouy]e|[^tdaeiouy]ed|[^aeiouy]ely|[^aeiouylscgxz]es|eful|eless|ement)$")
+_TWO = re.compile(r"crea(?!m|k|s)|ia(?!n?t|l)|i[ou](?!us|n)|eo(?!n)|ua(?!rd)|ue[nt]|[aeiouy]ing|io$|ius|uou|yo|iet|dnt$|sm$")
 
 _TAG = re.compile(r"<[^<>]{0,300}>|https?://\S+|www\.\S+|\S+@\S+\.\S+")
 _MARK = re.compile(r"^[\s#>*•\-–—·▪◦‣]*(?:\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,4})[.)]\s+)?[\s*_#]*")
