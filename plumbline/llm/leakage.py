@@ -38,8 +38,8 @@ SHARD_CHARS, ALIGNMENTS = 4_000_000, 50_000
 _TAG = re.compile(r"</?[A-Za-z!][^<>]{0,200}>")
 _HYPHEN = re.compile(rb"-[ \t]*\r?\n[ \t>]*")
 _TABLE = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256)).lower()
-_INVISIBLE = dict.fromkeys([0xAD, 0x2060, 0xFEFF, *range(0x200B, 0x2010)])
-_DASHES = dict.fromkeys([0x2010, 0x2011], "-")
+_DROPPED = re.compile("[\u00ad\u0300-\u036f\u200b-\u200f\u2060\ufeff]+")
+_DASH, _QUOTE, _OTHER = re.compile("[\u2010\u2011]"), re.compile("[\u2019\u02bc]"), re.compile(r"[^\w\n>'-]+")
 
 
 def terms_of(text: str) -> list[bytes]:
@@ -49,8 +49,8 @@ def terms_of(text: str) -> list[bytes]:
     if "<" in text:
         text = _TAG.sub("", text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.translate(_INVISIBLE).translate(_DASHES)).lower()
-        text = "".join(c if c.isalnum() or c in "-'\n>" else "'" if c in "’ʼ" else "" if unicodedata.combining(c) else " " for c in text)
+        text = _DASH.sub("-", _QUOTE.sub("'", _DROPPED.sub("", unicodedata.normalize("NFKD", text).lower())))
+        text = _OTHER.sub(" ", text)
     raw = text.encode()
     if b"-\n" in raw or b"-\r" in raw or b"- \n" in raw:
         raw = _HYPHEN.sub(b"", raw)
@@ -131,6 +131,8 @@ def align(positions: np.ndarray, bounds: np.ndarray, size: int, items: Items) ->
     """Position in the shard and item number of reproduced stretches."""
     flat = np.full(size, -1, np.int32)
     flat[positions] = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    width = items.grid.shape[1]
+    span = size + 2 * width
     n_all = bounds[items.term + 1] - bounds[items.term]
     work = np.cumsum(n_all)
     out_at, out_item, start = [], [], 0
@@ -145,16 +147,17 @@ def align(positions: np.ndarray, bounds: np.ndarray, size: int, items: Items) ->
         start = stop
         found = []
         for offset in (0, SLIP):  # two overlapping bands, so that seeds that slip meet in one of them
-            band = (shift + offset + items.grid.shape[1]) // (2 * SLIP)
-            key = (item * (size // SLIP + items.grid.shape[1] + 4) + band) * 1024 + np.minimum(place, 1023)
-            o = np.argsort(key, kind="stable")
-            k = key[o]
-            meet = np.flatnonzero((k[MEETING - 1 :] >> 10 == k[: len(k) - MEETING + 1] >> 10) & (place[o][MEETING - 1 :] - place[o][: len(k) - MEETING + 1] < STRETCH))
-            found += [np.stack([item[o[meet + j]], shift[o[meet + j]], place[o[meet]] // 8]) for j in range(MEETING)]
-        cand = np.unique(np.concatenate(found, axis=1), axis=1)
-        for a in range(0, cand.shape[1], ALIGNMENTS):
-            i, s, p = cand[:, a : a + ALIGNMENTS]
-            at, good = _stretches(flat, items, i, s, p * 8)
+            band = (shift + offset + width) // (2 * SLIP)
+            group = item * (span // SLIP + 4) + band
+            o = np.lexsort((place, group))
+            g, p = group[o], place[o]
+            meet = np.flatnonzero((g[MEETING - 1 :] == g[: len(g) - MEETING + 1]) & (p[MEETING - 1 :] - p[: len(p) - MEETING + 1] < STRETCH))
+            found += [((item[o[meet + j]] * span + shift[o[meet + j]] + width) << 16) + (place[o[meet]] >> 3) for j in range(MEETING)]
+        cand = np.unique(np.concatenate(found))
+        for a in range(0, len(cand), ALIGNMENTS):
+            part = cand[a : a + ALIGNMENTS]
+            i, s = np.divmod(part >> 16, span)
+            at, good = _stretches(flat, items, i, s - width, (part & 0xFFFF) << 3)
             out_at.append(at)
             out_item.append(i[good])
     none = np.empty(0, np.int64)
