@@ -161,7 +161,7 @@ def reading_bands(docs: DataFrame, labels: DataFrame, id: str, text: str, least_
     """
     graded = written(grade_documents(docs, id, text), "grades")
     agreed = labels.where("doc_id is not null and band is not null").groupBy("doc_id").agg(F.min("band").alias("band"), F.max("band").alias("other"))
-    known = agreed.where("band = other").join(graded.where("english").dropDuplicates(["doc_id"]), "doc_id").orderBy("doc_id").limit(LABELLED_DOCS)
+    known = agreed.where("band = other").join(graded.where("english"), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(LABELLED_DOCS)
     rows = known.select("band", *FORMULAS).collect()
     fitted = [fit_cuts(np.array([r[i + 1] for r in rows]), np.array([r[0] for r in rows]), DEFAULT_CUTS[i]) for i in range(len(FORMULAS))]
     votes = [sum((F.when(F.col(f) >= c, 1).otherwise(0) for c in cuts), F.lit(1)) for f, cuts in zip(FORMULAS, fitted)]
