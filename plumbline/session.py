@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_session(cpus: str | int = "*", memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings that the queries are written for."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("plumbline")
         .config("spark.driver.memory", memory)
@@ -23,6 +24,18 @@ def get_session(cpus: str | int = "*", memory: str = "8g", shuffle_partitions: i
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    share_code(spark)
+    return spark
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers find this package by the path that it has here, whatever the working folder. Where machines
+    don't share that path, ship the package with --py-files."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in known:
+        env["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])
 
 
 def shared_dir(spark: SparkSession) -> str:
