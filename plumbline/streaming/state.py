@@ -92,9 +92,13 @@ def sessions(events: DataFrame, ts: str, gap: str, by: list[str], watermark: str
     return w.groupBy(F.session_window(ts, gap), *by).agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "n")
 
 
-def run_to_end(stream: DataFrame, name: str) -> DataFrame:
-    """Drive a bounded stream to its end into a memory table."""
-    spark = stream.sparkSession
-    q = stream.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
+def run_to_end(stream: DataFrame) -> DataFrame:
+    """Drive a bounded stream to its end into a table in the shared folder, where its checkpoint lies too, and read it."""
+    import uuid
+
+    from plumbline.session import shared_dir
+
+    base = f"{shared_dir(stream.sparkSession)}/plumbline/{uuid.uuid4().hex}"
+    q = stream.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{base}/rows")
