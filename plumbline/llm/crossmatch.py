@@ -3,7 +3,8 @@
 Every row becomes a bag of terms from all its attributes: office (place, kind and number as its name and address say),
 place, kind, host, phone, street, zip. Terms are weighed by BM25 over an inverted index of the other source. Candidates
 come only from the terms without which a row can't reach the best score found so far (exact pruning), so that common
-terms, such as a shared switchboard, open no candidates but still count. Two offices match if each is the nearest of the
+terms, such as a shared switchboard, open no candidates where rarer ones decide, but still count. Rows that say the same
+to the other source are looked up once, so that an organisation with many rows is matched like any other. Two offices match if each is the nearest of the
 other among all offices (an office may have several rows on both sides); the confidence of a pair comes from the score
 and its gaps to the next office through a logistic calibration; an exact comparison of what both names say follows.
 """
@@ -19,7 +20,7 @@ from plumbline.llm import names
 from plumbline.session import written
 
 K1, B = 1.2, 0.5
-#: A pair's shared terms must together be as rare as one term that this many rows hold; below that nothing is evidence.
+#: The first lower bound of a row's best score comes from whole lists up to this length; it changes the speed, never a result.
 COMMON_ROWS = 200
 #: Share of a row's best score down to which other offices are looked at (for the gap to the next one).
 NEAR = 0.5
@@ -125,21 +126,32 @@ def _terms(rows: DataFrame, said: DataFrame) -> DataFrame:
     return written(rows.join(said, ["side", "id"]).select("side", "id", known.alias("office"), "place", "kind", "exact", terms.alias("terms")), "terms")
 
 
-def _candidates(postings: DataFrame, floor: float) -> DataFrame:
+def _bags(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that say the same to the other side, with the same gains: side, id, bag (the least id of them); and the
+    postings of those bags. Terms that the other side doesn't have open and add nothing, so they are left out."""
+    shared = written(postings.join(postings.select((1 - F.col("side")).alias("side"), "term").distinct(), ["side", "term"], "left_semi"), "shared")
+    said = shared.groupBy("side", "id").agg(F.sort_array(F.collect_list(F.struct("term", "gain"))).alias("terms"))
+    least = said.groupBy("side", "terms").agg(F.min("id").alias("bag"))
+    rows = written(said.join(least, ["side", "terms"]).select("side", "id", "bag"), "bags")
+    return rows, written(shared.join(rows.where("id = bag").select("side", "id"), ["side", "id"], "left_semi"), "postings")
+
+
+def _candidates(postings: DataFrame, floor: float = 0.0) -> DataFrame:
     """Pairs (side, q, id), q of one side and id of the other, that can reach NEAR of the best score of q, and the
     floor: exact, whatever the lists' lengths. ``postings(side, id, term, gain)``."""
     other = (1 - F.col("side")).alias("side")
-    top = postings.groupBy(other, "term").agg(F.max("gain").alias("most"), F.count("*").alias("rows"))
+    top = postings.groupBy(other, "term").agg(F.max("gain").alias("most"), F.count("*").alias("rows"), F.min_by("id", F.struct(-F.col("gain"), "id")).alias("id"))
     asks = postings.select("side", F.col("id").alias("q"), "term")
     up = Window.partitionBy("side", "q").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)  # a handful of terms
     asked = written(asks.join(top, ["side", "term"]).withColumn("reach", F.sum("most").over(up)), "asked")
     theirs = postings.select(other, "term", "id")
-    # first the rarest term alone: its best row's whole score is a lower bound of the best
-    rare = asked.where((F.col("reach") >= floor) & (F.col("rows") <= COMMON_ROWS)).groupBy("side", "q").agg(F.min_by("term", F.struct("rows", "term")).alias("term"))
-    first = rare.join(theirs, ["side", "term"]).select("side", "q", "id")
+    # first the rarest term alone and of each term the row that it says most of: the best whole score of these rows is a
+    # lower bound of the best
+    rare = asked.where(F.col("rows") <= COMMON_ROWS).groupBy("side", "q").agg(F.min_by("term", F.struct("rows", "term")).alias("term"))
+    first = rare.join(theirs, ["side", "term"]).select("side", "q", "id").unionByName(asked.select("side", "q", "id")).distinct()
     bound = _scores(first, postings).groupBy("side", "q").agg(F.max("score").alias("bound"))
-    needed = F.greatest(F.coalesce(F.col("bound") * NEAR, F.lit(0.0)), F.lit(floor))
-    essential = asked.join(bound, ["side", "q"], "left").where(F.col("reach") >= needed)
+    needed = F.greatest(F.col("bound") * NEAR, F.lit(floor))
+    essential = asked.join(bound, ["side", "q"]).where(F.col("reach") >= needed)
     return essential.select("side", "q", "term").join(theirs, ["side", "term"]).select("side", "q", "id").distinct()
 
 
@@ -189,26 +201,33 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     each = said.select("side", "id", ((K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / mean))).alias("norm"), F.explode("terms").alias("term"))
     weights = each.groupBy("term").agg(F.count("*").alias("n")).select("term", F.log(1 + (n - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
     postings = written(each.join(weights, "term").select("side", "id", "term", (F.col("idf") * F.col("norm")).alias("gain"), "idf"), "postings")
-    floor = max(0.5, float(np.log(1 + n / COMMON_ROWS)))
-    pairs = written(_candidates(postings.drop("idf"), floor), "pairs")
+    bags, asks = _bags(postings.drop("idf"))
+    pairs = written(_candidates(asks), "pairs")
     every = pairs.unionByName(pairs.select(1 - F.col("side"), F.col("id").alias("q"), F.col("q").alias("id")).toDF("side", "q", "id")).distinct()
-    offices = said.select(1 - F.col("side"), "id", "office").toDF("side", "id", "office")
-    scored = written(_scores(every, postings).join(offices, ["side", "id"]), "scored")
-    near = written(scored.join(_nearest(scored), ["side", "q"]), "near")
+    rows_in = said.join(bags, ["side", "id"])
+    # of the offices in a bag, which all score alike, the first and another one tell the nearest and the gap
+    ends = rows_in.groupBy("side", "bag").agg(F.array_distinct(F.array(F.min("office"), F.max("office"))).alias("ends"))
+    offices = ends.select((1 - F.col("side")).alias("side"), F.col("bag").alias("id"), F.explode("ends").alias("office"))
+    each_score = written(_scores(every, asks), "scored")
+    near = written(_nearest(each_score.join(offices, ["side", "id"])), "near")
     own = postings.where("side = 0").groupBy(F.col("id").alias("g")).agg(F.sum("idf").alias("own"))
-    ahead = near.where("side = 0").select(F.col("q").alias("g"), F.col("id").alias("c"), "score", F.col("office").alias("c_office"), F.col("gap").alias("gap_g"), (F.col("near") == F.col("office")).alias("fit_g"))
-    back = near.where("side = 1").select(F.col("id").alias("g"), F.col("q").alias("c"), F.col("gap").alias("gap_c"), (F.col("near") == F.col("office")).alias("fit_c"))
-    two = ahead.join(back, ["g", "c"]).join(own, "g").withColumns({"mutual": F.col("fit_g") & F.col("fit_c"), "share": F.least(F.lit(1.0), F.col("score") / F.col("own"))})
-    two = written(two, "two")
+    found = written(rows_in.join(near.withColumnRenamed("q", "bag"), ["side", "bag"]), "found")
+    of = lambda side, p: found.where(f"side = {side}").select(F.col("id").alias(p), *(F.col(k).alias(f"{p}_{k}") for k in ("bag", "office", "near", "gap", "place", "kind", "exact")))
     meant = greenbook.select(F.col("enrichment_id").cast("long").alias("g"), F.lower(F.trim("entity_id")).alias("id")).where("g is not null and id is not null").distinct()
     truth = meant.join(forms, "id").select("g", F.concat_ws("|", F.trim(F.concat_ws(" ", "mods", "head")), "kind", F.nullif("number", F.lit(""))).alias("meant"))
-    exact = said.where("side = 1 and exact").select(F.col("id").alias("c"))
-    sample = two.join(truth, "g").join(exact, "c").orderBy(F.xxhash64("g", "c")).limit(LABELLED_PAIRS).select("share", "gap_g", "gap_c", "mutual", (F.col("meant") == F.col("c_office")).alias("y"))
-    got = np.array([[r.share, r.gap_g if r.mutual else -r.gap_g, r.gap_c if r.mutual else -r.gap_c, r.y] for r in sample.collect()], float).reshape(-1, 4)
+    # one labelled row of each bag
+    labelled = of(0, "g").join(truth, "g").join(own, "g").groupBy("g_bag").agg(F.min(F.struct("g", "meant", "own", "g_office", "g_near", "g_gap")).alias("l")).select("g_bag", "l.*")
+    exact = of(1, "c").where("c_exact").groupBy("c_bag").agg(F.min(F.struct("c", "c_office", "c_near", "c_gap")).alias("l")).select("c_bag", "l.*")
+    mutual = (F.col("g_near") == F.col("c_office")) & (F.col("c_near") == F.col("g_office"))
+    with_share = lambda df: df.withColumn("share", F.least(F.lit(1.0), F.col("score") / F.col("own")))
+    ahead = each_score.where("side = 0").select(F.col("q").alias("g_bag"), F.col("id").alias("c_bag"), "score")
+    sample = with_share(ahead.join(labelled, "g_bag").join(exact, "c_bag")).orderBy(F.xxhash64("g", "c")).limit(LABELLED_PAIRS).select("share", "g_gap", "c_gap", mutual.alias("mutual"), (F.col("meant") == F.col("c_office")).alias("y"))
+    got = np.array([[r.share, r.g_gap if r.mutual else -r.g_gap, r.c_gap if r.mutual else -r.c_gap, r.y] for r in sample.collect()], float).reshape(-1, 4)
     w = fit_logistic(got[:, :3], got[:, 3])
-    z = F.lit(float(w[0])) + float(w[1]) * F.col("share") + float(w[2]) * F.col("gap_g") + float(w[3]) * F.col("gap_c")
-    says = lambda side, p: said.where(f"side = {side}").select(F.col("id").alias(p), F.col("place").alias(f"{p}_place"), F.col("kind").alias(f"{p}_kind"))
+    z = F.lit(float(w[0])) + float(w[1]) * F.col("share") + float(w[2]) * F.col("g_gap") + float(w[3]) * F.col("c_gap")
     same = lambda k: F.coalesce(F.col(f"g_{k}") == F.col(f"c_{k}"), F.lit(True))
-    agreed = two.where("mutual").join(says(0, "g"), "g").join(says(1, "c"), "c").where(same("kind") & same("place"))
-    sure = agreed.withColumn("confidence", 1 / (1 + F.exp(-z))).where(F.col("confidence") >= LEAST_CONFIDENCE)
+    # members of offices that are nearest to each other, as many as there are
+    agreed = written(of(0, "g").join(of(1, "c"), mutual).where(same("kind") & same("place")).select("g", "c", "g_bag", "c_bag", "g_gap", "c_gap"), "agreed")
+    scores = _scores(agreed.select(F.lit(0).alias("side"), F.col("g_bag").alias("q"), F.col("c_bag").alias("id")).distinct(), asks).select(F.col("q").alias("g_bag"), F.col("id").alias("c_bag"), "score")
+    sure = with_share(agreed.join(scores, ["g_bag", "c_bag"]).join(own, "g")).withColumn("confidence", 1 / (1 + F.exp(-z))).where(F.col("confidence") >= LEAST_CONFIDENCE)
     return sure.select(F.col("g").alias("enrichment_id"), F.col("c").alias("contact_id"), "confidence")

@@ -40,6 +40,17 @@ def test_pairs(spark):
     assert run(spark, [], c) == [] and run(spark, g, []) == []
 
 
+def test_hot_organisation(spark, monkeypatch):
+    """Rows of an organisation that holds a third of all rows and says only its name are matched, however many there are."""
+    monkeypatch.setattr(crossmatch, "COMMON_ROWS", 1)
+    places = [f"{a}{b}" for a in ("alder", "birch", "cedar", "maple") for b in ("ford", "holm", "wick", "mont", "stead")]
+    reg = REG + [(f"{p}-pl", f"{p.title()} Public Library") for p in places]
+    g = [(i, None, "Foobarville Housing Authority", None, None) for i in range(10)] + [(100 + i, None, f"{p.title()} Public Library", None, None) for i, p in enumerate(places)]
+    c = [(i, "Foobarville Housing Authority", None, None, None, None, None) for i in range(10)] + [(100 + i, f"{p.title()} Public Library", None, None, None, None, None) for i, p in enumerate(places)]
+    want = [(i, j) for i in range(10) for j in range(10)] + [(100 + i, 100 + i) for i in range(20)]
+    assert run(spark, g, c, reg) == want
+
+
 def test_pruning_is_exact(spark):
     """With candidates pruned, every pair within reach of a row's best score is still there."""
     rng = np.random.default_rng(4)
