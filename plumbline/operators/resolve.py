@@ -173,11 +173,18 @@ def reconcile(rows: DataFrame, keys: DataFrame, source_level: Column) -> DataFra
     return j.select("row_id", F.col("b.entity_id").alias("entity_id"), decision.alias("decision"), reason.alias("reason"))
 
 
-def fuzzy_review(names: DataFrame, known: DataFrame, prefix: int = 4, most: int = 2) -> DataFrame:
-    """Our own fuzzy tier (no parity claimed): names within ``most`` edits of a known one that begins alike, for review."""
-    a = names.select("row_id", text.norm_name(F.col("name")).alias("k")).withColumn("b", F.left("k", F.lit(prefix)))
-    b = known.select("entity_id", text.norm_name(F.col("name")).alias("kk")).withColumn("b", F.left("kk", F.lit(prefix)))
-    return a.join(b, "b").withColumn("edits", F.levenshtein("k", "kk", most)).where("edits > 0").select("row_id", "entity_id", "edits")
+def fuzzy_review(names: DataFrame, known: DataFrame, most: int = 2) -> DataFrame:
+    """Our own fuzzy tier (no parity claimed): names within ``most`` edits of a known one, for review. A known name is cut
+    into ``most`` + 1 pieces, one of which no edit touches; it stands in the other name, at most ``most`` letters off."""
+    a = names.select("row_id", text.norm_name(F.col("name")).alias("k"))
+    b = known.select("entity_id", text.norm_name(F.col("name")).alias("kk"))
+    pieces = lambda df: df.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("at", F.expr(f"int(size * i div {most + 1})")).withColumn("n", F.expr(f"int(size * (i + 1) div {most + 1})") - F.col("at"))
+    theirs = pieces(b.select("kk").where("kk is not null").distinct().withColumn("size", F.length("kk"))).select("kk", "size", "i", F.expr("substring(kk, at + 1, n)").alias("piece"))
+    sizes = a.select("k").where("k is not null").distinct().withColumn("l", F.length("k")).withColumn("size", F.explode(F.expr(f"sequence(greatest(0, l - {most}), l + {most})")))
+    moved = pieces(sizes).withColumn("off", F.explode(F.sequence(F.lit(-most), F.lit(most)))).withColumn("at", F.col("at") + F.col("off")).where("at >= 0 and at + n <= l")
+    ours = moved.select("k", "size", "i", F.expr("substring(k, at + 1, n)").alias("piece")).distinct()
+    met = ours.join(theirs, ["size", "i", "piece"]).withColumn("edits", F.levenshtein("k", "kk", most)).where("edits > 0").select("k", "kk", "edits").distinct()
+    return a.join(met, "k").join(b, "kk").select("row_id", "entity_id", "edits")
 
 
 def inverted(rows: DataFrame, key: Column, owner: str) -> DataFrame:

@@ -117,3 +117,12 @@ def test_quality_and_sources(spark, tmp_path):
         sinks.append_unit(spark.range(n), str(tmp_path / "units"), "r", "u")
     assert spark.read.parquet(str(tmp_path / "units")).count() == 2
     assert not quality.is_stale("a\n_Generated x_", "a\n_Generated y_") and quality.is_stale("a", "b")
+
+
+def test_fuzzy_review_finds_every_pair(spark):
+    """An edit anywhere, the first letters included."""
+    known = [("a", "Foobarville Library"), ("b", "Town of Quux"), ("c", "Town of Quuz")]
+    rows = [(1, "Fobarville Library"), (2, "oobarvile Library"), (3, "Tovn of Quux"), (4, "Xtown of Quux"), (5, "Foobarville Library"), (6, "Something Else"), (7, None)]
+    got = resolve.fuzzy_review(spark.createDataFrame(rows, "row_id int, name string"), spark.createDataFrame(known, "entity_id string, name string"))
+    want = [(1, "a", 1), (2, "a", 2), (3, "b", 1), (3, "c", 2), (4, "b", 1), (4, "c", 2)]
+    assert sorted((r.row_id, r.entity_id, r.edits) for r in got.collect()) == want
