@@ -1,12 +1,12 @@
 """Rows of two sources that describe the same office, without a common key.
 
-Every row becomes a bag of terms from all its attributes: office (place, kind and number as its name and address say),
-place, kind, host, phone, street, zip. Terms are weighed by BM25 over an inverted index of the other source. Candidates
-come only from the terms without which a row can't reach the best score found so far (exact pruning), so that common
-terms, such as a shared switchboard, open no candidates where rarer ones decide, but still count. Rows that say the same
-to the other source are looked up once, so that an organisation with many rows is matched like any other. Two offices match if each is the nearest of the
-other among all offices (an office may have several rows on both sides); the confidence of a pair comes from the score
-and its gaps to the next office through a logistic calibration; an exact comparison of what both names say follows.
+Every row becomes a bag of terms from all its attributes: words of its name and of its cities, host, phone, street, zip.
+A typed word stands for the frequent word that most probably was meant (noisy channel), so that spellings meet; nothing
+knows which words are a place or a kind. Rows that say the same are one class. Terms are weighed by BM25 over an
+inverted index of the classes; candidates come only from the terms without which a class can't come near its best score
+(exact pruning). A pair must be mutually nearest, up to a tolerance, among the offices of either side; a logistic
+calibration of score, gaps, words that only one name holds, and the stated confidence gives the pair's confidence, which
+decides. An exact comparison of the numbers and words of both names follows.
 """
 
 from __future__ import annotations
@@ -16,18 +16,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm import names
+from plumbline.llm import lexicon, names
+from plumbline.llm.lexicon import EMPTY, NEVER, Channel
 from plumbline.session import written
 
 K1, B = 1.2, 0.5
-#: The first lower bound of a row's best score comes from whole lists up to this length; it changes the speed, never a result.
-COMMON_ROWS = 200
-#: Share of a row's best score down to which other offices are looked at (for the gap to the next one).
-NEAR = 0.5
-#: Labelled pairs for the calibration, at most, and its start values (bias, share of own score, gap on either side).
+#: Share of a class's best score down to which candidates are looked at, and at which an office still is a nearest one.
+NEAR, NEAREST = 0.7, 0.75
+#: Labelled pairs for the calibration, at most, and its start values: bias, share of the possible score, gap on either
+#: side, words that only one name holds (in units of NEVER), stated confidence.
 LABELLED_PAIRS = 20_000
-PRIOR = np.array([-3.0, 4.0, 4.0, 4.0])
+PRIOR = np.array([-2.0, 4.0, 3.0, 3.0, -4.0, 0.5])
 LEAST_CONFIDENCE = 0.5
+#: Log rate below which words that only one name holds speak for another office: if both names hold such words, and
+#: else unless the rows share a host, phone or street.
+FOREIGN = -3.0
+#: Rows that a typed word needs to be a word of its own beside the official ones, and log prior of such a word; weight of
+#: words that go together.
+OWN_WORD, NEW_WORD, TOGETHER = 2, -1.5, 2.0
 
 # Kinds of streets as written out and shortened, which addresses leave out or change at will.
 _STREETS = "street st avenue ave road rd lane ln place pl plaza plz square sq terrace terr row way drive dr court ct boulevard blvd hill"
@@ -56,10 +62,10 @@ def zip_of(c: Column) -> Column:
     return F.when(z != "", z)
 
 
-def _rows(df: DataFrame, side: int, id: Column, name: Column, cities: Column, hosts: Column, phones: Column, streets: Column, zips: Column) -> DataFrame:
+def _rows(df: DataFrame, side: int, id: Column, name: Column, sure: Column, cities: Column, hosts: Column, phones: Column, streets: Column, zips: Column) -> DataFrame:
     clean = lambda a: F.array_distinct(F.array_compact(F.coalesce(a, F.array().cast("array<string>"))))
     parts = {"cities": cities, "hosts": hosts, "phones": phones, "streets": streets, "zips": zips}
-    one = df.select(F.lit(side).alias("side"), id.cast("long").alias("id"), F.struct(name.alias("name"), *(clean(a).alias(n) for n, a in parts.items())).alias("r"))
+    one = df.select(F.lit(side).alias("side"), id.cast("long").alias("id"), F.struct(name.alias("name"), sure.cast("double").alias("sure"), *(clean(a).alias(n) for n, a in parts.items())).alias("r"))
     return one.where("id is not null")
 
 
@@ -67,108 +73,121 @@ def greenbook_rows(df: DataFrame) -> DataFrame:
     of = lambda kind: F.transform(F.filter("contact_details", lambda c: c["type"] == kind), lambda c: c["value"])
     address = of("address")
     city = F.transform(address, lambda a: F.trim(F.regexp_extract(a, r",\s*([^,]+),\s*[^,]*$", 1)))
-    return _rows(df, 0, F.col("enrichment_id"), F.col("agency_name"), city, F.transform("web_candidates", host_of), F.transform(of("voice"), phone_of), F.transform(address, street_of), F.transform(address, zip_of))
+    return _rows(df, 0, F.col("enrichment_id"), F.col("agency_name"), F.col("confidence_score"), city, F.transform("web_candidates", host_of), F.transform(of("voice"), phone_of), F.transform(address, street_of), F.transform(address, zip_of))
 
 
 def contact_rows(df: DataFrame) -> DataFrame:
-    return _rows(df, 1, F.col("contact_id"), F.col("agency"), F.array("city"), F.array(host_of(F.col("agency_contact_url"))), F.array(phone_of(F.col("phone"))), F.array(street_of(F.col("address_line_1"))), F.array(zip_of(F.col("zip"))))
-
-
-def _said(rows: DataFrame, kinds: list[str], forms: DataFrame) -> DataFrame:
-    """side, id, place, kind (with number) as the row's name says, the place as its address says where the name has
-    none; and whether the name said so exactly."""
-
-    @F.pandas_udf("mods string, head string")
-    def city_place(c: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([names.place_of([w for w in names.words_of(x) if w not in names.EMPTY])[:2] for x in c], columns=["mods", "head"])
-
-    cities = rows.select("side", "id", F.explode("cities").alias("city")).where("trim(city) <> ''").withColumn("p", city_place("city"))
-    cities = written(cities.select("side", "id", "p.mods", "p.head"), "cities")
-    readings = written(names.read_names(rows, "name", kinds), "readings")
-    # spellings of places that several rows or official names share are taken for right
-    official = forms.select("head").unionByName(cities.groupBy("head").agg(F.count("*").alias("n")).where("n >= 3").select("head"))
-    places = written(names.resolve_places(readings.select("head").unionByName(cities.select("head")), official), "places")
-    nearest = places.groupBy("typed").agg(F.min_by("head", F.struct(-F.col("place_cost"), "head")).alias("nearest"))
-    there = cities.join(nearest, cities["head"] == nearest["typed"], "left").select("side", "id", F.trim(F.concat_ws(" ", "mods", F.coalesce("nearest", "head"))).alias("p"))
-    there = there.where("p <> ''").groupBy("side", "id").agg(F.sort_array(F.collect_set("p")).alias("there"))
-    base = written(rows.select("side", "id", "name").join(there, ["side", "id"], "left"), "there")
-    heads = readings.join(places.withColumnRenamed("head", "found"), F.col("head") == F.col("typed"), "left")
-    read = heads.select("name", "kind", "number", "cost", F.coalesce("place_cost", F.when(F.col("head") == "", 0.0).otherwise(-6.0)).alias("place_cost"), F.trim(F.concat_ws(" ", "mods", F.coalesce("found", "head"))).alias("place"))
-    spoken = base.join(read, "name")
-    # a place that nobody else spells like this, but nearly as the row's own address does
-    nearly = F.array_min(F.filter("there", lambda t: F.levenshtein(t, F.col("place"), 2) >= 0))
-    spoken = spoken.withColumn("nearly", F.when((F.col("place_cost") < -3) & (F.length("place") > 5), nearly))
-    spoken = spoken.withColumns({"place": F.coalesce("nearly", "place"), "place_cost": F.when(F.col("nearly").isNotNull(), -3.0).otherwise(F.col("place_cost"))})
-    nowhere = (F.col("place") == "") & F.col("there").isNotNull()
-    ll = F.col("cost") + F.col("place_cost") + F.when(F.array_contains("there", F.col("place")), 3.0).when(nowhere, 1.0).otherwise(0.0)
-    best = spoken.groupBy("side", "id").agg(
-        F.max_by(
-            F.struct(
-                F.when(nowhere, F.get("there", F.lit(0))).otherwise(F.col("place")).alias("place"),
-                F.concat_ws("|", "kind", F.nullif("number", F.lit(""))).alias("kind"),
-                ((F.col("cost") == 0) & (F.col("place_cost") == 0) & (F.col("place") != "")).alias("exact"),
-            ),
-            F.struct(ll.alias("ll"), "place", "kind"),
-        ).alias("b")
-    )
-    said = base.select("side", "id", F.get("there", F.lit(0)).alias("home")).join(best, ["side", "id"], "left")
-    return said.select("side", "id", F.coalesce(F.nullif("b.place", F.lit("")), "home").alias("place"), F.col("b.kind").alias("kind"), F.coalesce("b.exact", F.lit(False)).alias("exact"))
-
-
-def _terms(rows: DataFrame, said: DataFrame) -> DataFrame:
-    """side, id, office (the row itself where it isn't told), place, kind, exact, terms."""
-    office = F.concat_ws("|", "place", "kind")
+    return _rows(df, 1, F.col("contact_id"), F.col("agency"), F.lit(None), F.array("city"), F.array(host_of(F.col("agency_contact_url"))), F.array(phone_of(F.col("phone"))), F.array(street_of(F.col("address_line_1"))), F.array(zip_of(F.col("zip"))))
+
+
+def meant_words(texts: DataFrame, official: DataFrame) -> DataFrame:
+    """text, means: the words that each distinct text of ``texts(text, n)`` most probably means, sorted. An official
+    word (of ``official(words)``) means itself; another one means the word, official or used in OWN_WORD rows, of
+    greatest frequency times likelihood, or a common word or run; of several readings the one that suits the rest of
+    the text, a word that is there already first."""
+    common = lexicon.learn_common(official)
+    read = lexicon.name_words(texts, "text", "text")
+    uses = texts.groupBy("text").agg(F.sum("n").alias("n")).join(read, "text").select("n", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.sum("n").alias("n"))
+    named = official.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("named"))
+    plain = (~F.col("w").rlike("^[0-9]+$")) & ~F.col("w").isin(*EMPTY)
+    vocabulary = written(uses.join(named, "w", "full").select("w", (F.coalesce("n", F.lit(0)) + F.coalesce("named", F.lit(0))).alias("n"), F.col("named").isNotNull().alias("known")).where(plain), "vocabulary")
+    typed = vocabulary.where("not known")
+    near = lexicon.rare_words(typed.select("w"), vocabulary.where(f"known or n >= {OWN_WORD}").select("w")).where("typed <> word")
+    weight = F.struct((F.col("cost") + F.log("n")).alias("weight"), F.col("word"))
+    best = near.join(vocabulary.select(F.col("w").alias("word"), "n"), "word").groupBy(F.col("typed").alias("w")).agg(F.max(weight).alias("b"))
+    likely = best.join(typed, "w").select("w", "b.word", (F.col("b.weight") - F.log("n") - NEW_WORD).alias("margin"))
+    each = read.select("text", F.explode(F.array_distinct("words")).alias("w"))
+    unsure = each.join(written(likely, "likely"), "w").groupBy("text").agg(F.map_from_entries(F.collect_list(F.struct("w", F.struct("word", "margin")))).alias("likely"))
+    known = each.join(vocabulary.where("known").select("w"), "w").groupBy("text").agg(F.collect_list("w").alias("known"))
+
+    def choose(ws, likely, known):
+        ws, options = [w for w in ws if w not in EMPTY], []
+        for k, w in enumerate(ws):
+            if w in known or w.isdigit():
+                options.append([(w, 0.0)])
+                continue
+            usual = [*common.stands_for(w), *common.after_letter(w, ws[:k] + ws[k + 1 :])]
+            if w in likely and len(w) > 2:
+                word, margin = likely[w]["word"], likely[w]["margin"] + TOGETHER * (likely[w]["word"] in ws)
+                if word in known or word in common.known:
+                    usual.append((word, lexicon.channel(w, word)))
+                elif not usual and margin > 0:  # a frequent word, which may be a short one itself
+                    usual = common.stands_for(word) or [(word, 0.0)]
+                if margin <= 0 and all(r == word for r, _ in usual):
+                    usual.append((w, 0.0))
+            options.append(usual or [(w, 0.0)])
+        sure = {x for o in options if len(o) == 1 for x in o[0][0].split(" ")}
+        out = set()
+        for k, o in enumerate(options):
+            if len(o) > 1:
+                rest = {x for j, p in enumerate(options) if j != k for r, _ in p for x in r.split(" ")}
+                o = sorted(o, key=lambda rc: (-(rc[1] + common.suits(rc[0], rest, sure) + TOGETHER * (rc[0] in sure)), rc[0]))
+            out |= set(o[0][0].split(" "))
+        return sorted(out)
+
+    def run(batches):
+        for pdf in batches:
+            each = [choose(list(ws), dict(m) if m is not None else {}, set(k) if k is not None else set()) for ws, m, k in zip(pdf["words"], pdf["likely"], pdf["known"])]
+            yield pd.DataFrame({"text": pdf["text"], "means": each})
+
+    return written(read.join(unsure, "text", "left").join(known, "text", "left").mapInPandas(run, "text string, means array<string>"), "meant")
+
+
+def _classes(rows: DataFrame, official: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that say the same are one class: members (side, id, q, sure) and classes (side, q, terms, words), q being
+    the least id of a class. Rows without a name are in none."""
+    whole = rows.where("trim(name) <> ''").withColumn("text", F.concat_ws(" ; ", F.array("name"), F.filter("cities", lambda c: F.trim(c) != "")))
+    meant = meant_words(whole.groupBy("text").agg(F.count("*").alias("n")), official)
+    said = whole.join(meant, "text")
+    words = F.col("means")
     tag = lambda t, a: F.transform(a, lambda x: F.concat(F.lit(t), x))
-    both = F.col("place").isNotNull() & F.col("kind").isNotNull()
-    alone = F.array(F.when(both, F.concat(F.lit("o|"), office)), F.concat(F.lit("c|"), "place"), F.concat(F.lit("k|"), "kind"))
-    terms = F.array_distinct(F.array_compact(F.concat(alone, tag("h|", "hosts"), tag("p|", "phones"), tag("a|", "streets"), tag("z|", "zips"))))
-    known = F.when(both, office).otherwise(F.concat(F.lit("row "), "side", F.lit(" "), "id"))
-    return written(rows.join(said, ["side", "id"]).select("side", "id", known.alias("office"), "place", "kind", "exact", terms.alias("terms")), "terms")
+    terms = F.array_sort(F.concat(tag("w|", words), tag("h|", F.col("hosts")), tag("p|", F.col("phones")), tag("a|", F.col("streets")), tag("z|", F.col("zips"))))
+    each = written(said.select("side", "id", "sure", words.alias("words"), terms.alias("terms")), "said")
+    least = each.groupBy("side", "terms").agg(F.min("id").alias("q"), F.first("words").alias("words"))
+    members = written(each.join(least.select("side", "terms", "q"), ["side", "terms"]).select("side", "id", "q", "sure"), "members")
+    return members, written(least.select("side", "q", "terms", "words"), "classes")
 
 
-def _bags(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that say the same to the other side, with the same gains: side, id, bag (the least id of them); and the
-    postings of those bags. Terms that the other side doesn't have open and add nothing, so they are left out."""
-    shared = written(postings.join(postings.select((1 - F.col("side")).alias("side"), "term").distinct(), ["side", "term"], "left_semi"), "shared")
-    said = shared.groupBy("side", "id").agg(F.sort_array(F.collect_list(F.struct("term", "gain"))).alias("terms"))
-    least = said.groupBy("side", "terms").agg(F.min("id").alias("bag"))
-    rows = written(said.join(least, ["side", "terms"]).select("side", "id", "bag"), "bags")
-    return rows, written(shared.join(rows.where("id = bag").select("side", "id"), ["side", "id"], "left_semi"), "postings")
-
-
-def _candidates(postings: DataFrame, floor: float = 0.0) -> DataFrame:
-    """Pairs (side, q, id), q of one side and id of the other, that can reach NEAR of the best score of q, and the
-    floor: exact, whatever the lists' lengths. ``postings(side, id, term, gain)``."""
+def _candidates(postings: DataFrame) -> DataFrame:
+    """Pairs (g, c) of classes that can reach NEAR of the best score of either: exact, whatever the lists' lengths.
+    ``postings(side, q, term, gain)``; a pair's score is the sum of the products of gains of the terms they share."""
     other = (1 - F.col("side")).alias("side")
-    top = postings.groupBy(other, "term").agg(F.max("gain").alias("most"), F.count("*").alias("rows"), F.min_by("id", F.struct(-F.col("gain"), "id")).alias("id"))
-    asks = postings.select("side", F.col("id").alias("q"), "term")
-    up = Window.partitionBy("side", "q").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)  # a handful of terms
-    asked = written(asks.join(top, ["side", "term"]).withColumn("reach", F.sum("most").over(up)), "asked")
-    theirs = postings.select(other, "term", "id")
-    # first the rarest term alone and of each term the row that it says most of: the best whole score of these rows is a
-    # lower bound of the best
-    rare = asked.where(F.col("rows") <= COMMON_ROWS).groupBy("side", "q").agg(F.min_by("term", F.struct("rows", "term")).alias("term"))
-    first = rare.join(theirs, ["side", "term"]).select("side", "q", "id").unionByName(asked.select("side", "q", "id")).distinct()
-    bound = _scores(first, postings).groupBy("side", "q").agg(F.max("score").alias("bound"))
-    needed = F.greatest(F.col("bound") * NEAR, F.lit(floor))
-    essential = asked.join(bound, ["side", "q"]).where(F.col("reach") >= needed)
-    return essential.select("side", "q", "term").join(theirs, ["side", "term"]).select("side", "q", "id").distinct()
-
-
-def _scores(pairs: DataFrame, postings: DataFrame) -> DataFrame:
-    """Whole BM25 scores of given pairs: the terms of both rows are met, so no list is read again as a whole."""
-    bags = postings.groupBy("side", "id").agg(F.map_from_entries(F.collect_list(F.struct("term", "gain"))).alias("gains"))
-    asks = bags.select("side", F.col("id").alias("q"), F.map_keys("gains").alias("asked"))
-    met = pairs.join(asks, ["side", "q"]).join(bags.withColumn("side", 1 - F.col("side")), ["side", "id"])
-    return met.select("side", "q", "id", F.aggregate("asked", F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at("gains", t), F.lit(0.0))).alias("score"))
-
-
-def _nearest(scored: DataFrame) -> DataFrame:
-    """For each row the nearest office of the other side and the gap to the next one."""
-    offices = scored.groupBy("side", "q", "office").agg(F.max("score").alias("s"))
-    w = Window.partitionBy("side", "q").orderBy(F.desc("s"), "office")
-    ranked = offices.withColumns({"k": F.row_number().over(w), "next": F.lead("s").over(w)})
-    return ranked.where("k = 1").select("side", "q", F.col("office").alias("near"), ((F.col("s") - F.coalesce("next", F.lit(0.0))) / F.col("s")).alias("gap"))
+    top = postings.groupBy(other, "term").agg(F.max("gain").alias("best_gain"), F.count("*").alias("rows"), F.min_by("q", F.struct(-F.col("gain"), "q")).alias("d"))
+    up = Window.partitionBy("side", "q").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)  # the terms of a class
+    asks = postings.join(top, ["side", "term"]).withColumn("most", F.col("gain") * F.col("best_gain"))
+    asked = written(asks.select("side", "q", "term", "rows", "d", "most", F.sum("most").over(up).alias("reach")), "asked")
+    theirs = postings.select(other, "term", F.col("q").alias("d"))
+    # the rarest term alone, and of each term the class that says most of it: the best whole score of these is a lower
+    # bound of the best
+    rare = asked.groupBy("side", "q").agg(F.min_by("term", F.struct("rows", "term")).alias("term"))
+    first = rare.join(theirs, ["side", "term"]).select("side", "q", "d").unionByName(asked.select("side", "q", "d"))
+    bound = scores(_ahead(first), postings)
+    both = bound.select(F.lit(0).alias("side"), F.col("g").alias("q"), "score").unionByName(bound.select(F.lit(1).alias("side"), F.col("c").alias("q"), "score"))
+    least = both.groupBy("side", "q").agg(F.max("score").alias("bound"))
+    essential = asked.join(least, ["side", "q"]).where(F.col("reach") >= F.col("bound") * NEAR)
+    return _ahead(essential.select("side", "q", "term").join(theirs, ["side", "term"]).select("side", "q", "d"))
+
+
+def _ahead(pairs: DataFrame) -> DataFrame:
+    g = F.when(F.col("side") == 0, F.col("q")).otherwise(F.col("d"))
+    c = F.when(F.col("side") == 0, F.col("d")).otherwise(F.col("q"))
+    return pairs.select(g.alias("g"), c.alias("c")).distinct()
+
+
+def scores(pairs: DataFrame, postings: DataFrame) -> DataFrame:
+    """Whole BM25 scores of pairs (g, c): the terms of both are met, so no list is read again as a whole."""
+    bag = lambda side, q, name: postings.where(f"side = {side}").groupBy(F.col("q").alias(q)).agg(F.map_from_entries(F.collect_list(F.struct("term", "gain"))).alias(name))
+    met = pairs.join(bag(0, "g", "left_gains"), "g").join(bag(1, "c", "right_gains"), "c")
+    shared = F.aggregate(F.map_entries("left_gains"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at("right_gains", e["key"]), F.lit(0.0)))
+    return met.select("g", "c", shared.alias("score"))
+
+
+def _gaps(scored: DataFrame, q: str, office: str, name: str) -> DataFrame:
+    """For each class ``q`` and each office of the other side: the best score, and that of the best other office."""
+    offices = scored.groupBy(q, office).agg(F.max("score").alias("s"))
+    w = Window.partitionBy(q).orderBy(F.desc("s"), office)
+    ranked = offices.withColumns({"k": F.row_number().over(w), "second": F.lead("s").over(w), "first": F.max("s").over(Window.partitionBy(q))})
+    return ranked.select(q, office, F.when(F.col("k") == 1, F.coalesce("second", F.lit(0.0))).otherwise(F.col("first")).alias(name))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray = PRIOR, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
@@ -184,50 +203,76 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray = PRIOR, ridge:
     return w
 
 
-def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame) -> DataFrame:
+def _cost(model: Channel):
+    """Log rate at which a word is left out or put in; the learned rates are those of at most LABELLED names."""
+    rates = {w: max(model.cost_out(w), model.cost_in(w)) for w in {**model.left_out, **model.put_in}}
+    rates = {w: r for w, r in rates.items() if r > NEVER + 1}
+    if not rates:
+        return lambda w: F.lit(NEVER)
+    learned = F.create_map(*(F.lit(x) for w in sorted(rates) for x in (w, float(rates[w]))))
+    return lambda w: F.coalesce(F.try_element_at(learned, w), F.lit(NEVER))
+
+
+def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame, weighed: bool = True, mutual: bool = True, calibrated: bool = True) -> DataFrame:
     """Columns enrichment_id, contact_id, confidence: every pair of rows for the same organisation.
 
     Names, contact details and addresses may be missing, shared, old or misspelt; null and empty attributes say nothing.
-    Rows that say neither what nor where they are match nothing. Rows delivered twice count once (of rows with one id
-    the greatest stands). Empty tables give no rows. Names that differ in place, kind or number never match. Labels for
-    the calibration are rows whose ``entity_id`` names a record and contacts whose name is an official one.
+    Rows without a name match nothing. Rows delivered twice count once (of rows with one id the greatest stands). Empty
+    tables give no rows. Names with different numbers never match. Labels for the calibration are rows whose
+    ``entity_id`` names a record and contacts whose name means an official one. ``weighed``, ``mutual`` and
+    ``calibrated`` switch a part of the method off, to measure what it does.
     """
-    forms = names.official_forms(registry, "id", "name")
-    kinds = names.learn_kinds(forms)
+    model = lexicon.fit_channel(names.labelled_pairs(greenbook, registry, "agency_name", "entity_id", "id", "name"))
+    official = lexicon.name_words(registry, "name", "form")
     both = greenbook_rows(greenbook).unionByName(contact_rows(contacts))
     rows = written(both.groupBy("side", "id").agg(F.max("r").alias("r")).select("side", "id", "r.*"), "rows")
-    said = _terms(rows, _said(rows, kinds, forms))
-    n, mean = said.agg(F.count("*"), F.coalesce(F.avg(F.size("terms")), F.lit(1.0))).first()
-    each = said.select("side", "id", ((K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / mean))).alias("norm"), F.explode("terms").alias("term"))
-    weights = each.groupBy("term").agg(F.count("*").alias("n")).select("term", F.log(1 + (n - F.col("n") + 0.5) / (F.col("n") + 0.5)).alias("idf"))
-    postings = written(each.join(weights, "term").select("side", "id", "term", (F.col("idf") * F.col("norm")).alias("gain"), "idf"), "postings")
-    bags, asks = _bags(postings.drop("idf"))
-    pairs = written(_candidates(asks), "pairs")
-    every = pairs.unionByName(pairs.select(1 - F.col("side"), F.col("id").alias("q"), F.col("q").alias("id")).toDF("side", "q", "id")).distinct()
-    rows_in = said.join(bags, ["side", "id"])
-    # of the offices in a bag, which all score alike, the first and another one tell the nearest and the gap
-    ends = rows_in.groupBy("side", "bag").agg(F.array_distinct(F.array(F.min("office"), F.max("office"))).alias("ends"))
-    offices = ends.select((1 - F.col("side")).alias("side"), F.col("bag").alias("id"), F.explode("ends").alias("office"))
-    each_score = written(_scores(every, asks), "scored")
-    near = written(_nearest(each_score.join(offices, ["side", "id"])), "near")
-    own = postings.where("side = 0").groupBy(F.col("id").alias("g")).agg(F.sum("idf").alias("own"))
-    found = written(rows_in.join(near.withColumnRenamed("q", "bag"), ["side", "bag"]), "found")
-    of = lambda side, p: found.where(f"side = {side}").select(F.col("id").alias(p), *(F.col(k).alias(f"{p}_{k}") for k in ("bag", "office", "near", "gap", "place", "kind", "exact")))
-    meant = greenbook.select(F.col("enrichment_id").cast("long").alias("g"), F.lower(F.trim("entity_id")).alias("id")).where("g is not null and id is not null").distinct()
-    truth = meant.join(forms, "id").select("g", F.concat_ws("|", F.trim(F.concat_ws(" ", "mods", "head")), "kind", F.nullif("number", F.lit(""))).alias("meant"))
-    # one labelled row of each bag
-    labelled = of(0, "g").join(truth, "g").join(own, "g").groupBy("g_bag").agg(F.min(F.struct("g", "meant", "own", "g_office", "g_near", "g_gap")).alias("l")).select("g_bag", "l.*")
-    exact = of(1, "c").where("c_exact").groupBy("c_bag").agg(F.min(F.struct("c", "c_office", "c_near", "c_gap")).alias("l")).select("c_bag", "l.*")
-    mutual = (F.col("g_near") == F.col("c_office")) & (F.col("c_near") == F.col("g_office"))
-    with_share = lambda df: df.withColumn("share", F.least(F.lit(1.0), F.col("score") / F.col("own")))
-    ahead = each_score.where("side = 0").select(F.col("q").alias("g_bag"), F.col("id").alias("c_bag"), "score")
-    sample = with_share(ahead.join(labelled, "g_bag").join(exact, "c_bag")).orderBy(F.xxhash64("g", "c")).limit(LABELLED_PAIRS).select("share", "g_gap", "c_gap", mutual.alias("mutual"), (F.col("meant") == F.col("c_office")).alias("y"))
-    got = np.array([[r.share, r.g_gap if r.mutual else -r.g_gap, r.c_gap if r.mutual else -r.c_gap, r.y] for r in sample.collect()], float).reshape(-1, 4)
-    w = fit_logistic(got[:, :3], got[:, 3])
-    z = F.lit(float(w[0])) + float(w[1]) * F.col("share") + float(w[2]) * F.col("g_gap") + float(w[3]) * F.col("c_gap")
-    same = lambda k: F.coalesce(F.col(f"g_{k}") == F.col(f"c_{k}"), F.lit(True))
-    # members of offices that are nearest to each other, as many as there are
-    agreed = written(of(0, "g").join(of(1, "c"), mutual).where(same("kind") & same("place")).select("g", "c", "g_bag", "c_bag", "g_gap", "c_gap"), "agreed")
-    scores = _scores(agreed.select(F.lit(0).alias("side"), F.col("g_bag").alias("q"), F.col("c_bag").alias("id")).distinct(), asks).select(F.col("q").alias("g_bag"), F.col("id").alias("c_bag"), "score")
-    sure = with_share(agreed.join(scores, ["g_bag", "c_bag"]).join(own, "g")).withColumn("confidence", 1 / (1 + F.exp(-z))).where(F.col("confidence") >= LEAST_CONFIDENCE)
-    return sure.select(F.col("g").alias("enrichment_id"), F.col("c").alias("contact_id"), "confidence")
+    members, classes = _classes(rows, official)
+    n, mean = classes.agg(F.count("*"), F.coalesce(F.avg(F.size("terms")), F.lit(1.0))).first()
+    each = classes.select("side", "q", ((K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / mean))).alias("norm"), F.explode("terms").alias("term"))
+    sizes = members.groupBy("side", "q").agg(F.count("*").alias("m"))
+    rows_n = members.count()
+    weights = each.join(sizes, ["side", "q"]).groupBy("term").agg(F.sum("m").alias("n")).select("term", (F.log(1 + (rows_n - F.col("n") + 0.5) / (F.col("n") + 0.5)) if weighed else F.lit(1.0)).alias("idf"))
+    postings = written(each.join(weights, "term").select("side", "q", "term", F.sqrt(F.col("idf") * F.col("norm")).alias("gain")), "postings")
+    shared = written(postings.join(postings.select((1 - F.col("side")).alias("side"), "term").distinct(), ["side", "term"], "left_semi"), "shared")
+    pairs = written(_candidates(shared), "pairs")
+    cost_of = _cost(model)
+    cost = lambda a: F.aggregate(a, F.lit(0.0), lambda s, w: s + cost_of(w))
+    of = lambda side, p: classes.where(f"side = {side}").select(F.col("q").alias(p), F.col("terms").alias(f"{p}_terms"), F.col("words").alias(f"{p}_words"), F.concat_ws(" ", F.filter("words", lambda w: cost_of(w) < FOREIGN)).alias(f"{p}_office"))
+    scored = written(scores(pairs, shared).join(of(0, "g"), "g").join(of(1, "c"), "c"), "scored")
+    most = postings.groupBy("side", "q").agg(F.sum(F.col("gain") * F.col("gain")).alias("most"))
+    side = lambda k, p: most.where(f"side = {k}").select(F.col("q").alias(p), F.col("most").alias(f"{p}_most"))
+    stated = members.where("side = 0").groupBy(F.col("q").alias("g")).agg(F.coalesce(F.avg("sure"), F.lit(50.0)).alias("sure"))
+    told = scored.join(_gaps(scored, "g", "c_office", "g_other"), ["g", "c_office"]).join(_gaps(scored, "c", "g_office", "c_other"), ["c", "g_office"])
+    told = told.join(side(0, "g"), "g").join(side(1, "c"), "c").join(stated, "g")
+    digits = lambda a: F.filter(a, lambda w: w.rlike("^[0-9]+$"))
+    # other offices below NEAR are not looked at, so that gaps end there
+    gap = lambda other: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("score") - F.col(other)) / F.col("score") / (1 - NEAR)))
+    features = {
+        "share": F.col("score") / F.least("g_most", "c_most"),
+        "g_gap": gap("g_other"),
+        "c_gap": gap("c_other"),
+        "g_cost": cost(F.array_except("g_words", "c_words")),
+        "c_cost": cost(F.array_except("c_words", "g_words")),
+        "sure": F.col("sure") / 100,
+    }
+    near = (F.col("score") >= NEAREST * F.col("g_other")) & (F.col("score") >= NEAREST * F.col("c_other")) if mutual else F.lit(True)
+    told = written(told.where(near).withColumns(features).withColumn("foreign", (F.col("g_cost") + F.col("c_cost")) / NEVER), "told")
+    # labels: a class whose rows name a record, and one whose words are those of an official name
+    meaning = greenbook.select(F.col("enrichment_id").cast("long").alias("id"), F.lower(F.trim("entity_id")).alias("e")).where("id is not null and e is not null").distinct()
+    plain = official.withColumn("office", F.array_join(F.array_sort(F.array_distinct(F.filter("words", lambda w: ~w.isin(*EMPTY)))), " "))
+    truth = meaning.join(registry.select(F.col("id").alias("e"), F.col("name").alias("form")), "e").join(plain, "form").join(members.where("side = 0").select("id", F.col("q").alias("g")), "id").groupBy("g").agg(F.min("office").alias("meant"))
+    exact = plain.select(F.col("office").alias("c_office")).distinct()
+    columns = ["share", "g_gap", "c_gap", "foreign", "sure"]
+    labelled = told.join(truth, "g").join(exact, "c_office", "left_semi").orderBy(F.xxhash64("g", "c"), "g", "c").limit(LABELLED_PAIRS)
+    got = np.array([list(r) for r in labelled.select(*columns, (F.col("meant") == F.col("c_office")).cast("double")).collect()], float).reshape(-1, len(columns) + 1)
+    w = fit_logistic(got[:, :-1], got[:, -1]) if calibrated else PRIOR
+    z = F.lit(float(w[0]))
+    for k, c in enumerate(columns):
+        z = z + float(w[k + 1]) * F.col(c)
+    sure = told.withColumn("confidence", 1 / (1 + F.exp(-z))).where(F.col("confidence") >= LEAST_CONFIDENCE)
+    numbers = (F.size(digits("g_words")) == 0) | (F.size(digits("c_words")) == 0) | (F.size(F.array_intersect(digits("g_words"), digits("c_words"))) > 0)
+    foreign = (F.col("g_cost") < FOREIGN).cast("int") + (F.col("c_cost") < FOREIGN).cast("int")
+    reach = F.exists(F.array_intersect("g_terms", "c_terms"), lambda t: F.substring(t, 1, 2).isin("h|", "p|", "a|"))
+    agreed = sure.where(numbers & ((foreign == 0) | ((foreign == 1) & reach))).select("g", "c", "confidence")
+    row = lambda k, p, name: members.where(f"side = {k}").select(F.col("q").alias(p), F.col("id").alias(name))
+    return agreed.join(row(0, "g", "enrichment_id"), "g").join(row(1, "c", "contact_id"), "c").select("enrichment_id", "contact_id", "confidence")

@@ -1,328 +1,136 @@
-"""Variant spellings of organisation names: a noisy channel from official names to what people type.
+"""Variant spellings of organisation names, attributed by a noisy channel to frequent spellings.
 
-A name is a place, a kind of office and a number. Kinds are learned from the official names; what a typed name says is
-taken apart by aligning its words with each kind (copy, typing error, abbreviation, initials, lost and moved words), and
-what is left over is the place. Places meet their official spellings through shared deletions and prefixes of distinct
-words, never by comparing all. Every reading (place, kind, number) has a likelihood; official records that exist and
-readings that don't compete with their prior, and a spelling is attached to the record of greatest posterior.
+Candidate canonical forms are the official names and short names, and the spellings that are typed often for a known
+record, ranked by how often they are seen. A typed spelling meets those candidates that hold what its rarest word may
+stand for (typing errors, cut and contracted words, initials), and each is weighed by its frequency and by the
+likelihood of the whole spelling: words copied, mistyped, shortened, moved, left out or put in. The spelling is attached
+to the record of greatest posterior, an office that nobody knows being one of the rivals.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from collections import Counter
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm import lexicon
+from plumbline.llm.lexicon import EMPTY, NEVER, Channel, Common
 from plumbline.session import written
 
-#: Kinds that are kept in memory, at most (most frequent first); readings of a spelling that are followed up.
-KINDS, READINGS = 2_000, 3
-#: Weight of a reading that no record has; least posterior of a link.
-UNKNOWN, LEAST_POSTERIOR = 0.35, 0.5
-
-# Words that say nothing, levels of government that stand before or after a place, words that are part
-# of a place's name and how they are shortened, and number words.
-EMPTY = frozenset("the of and for on a an in at mun municipal munic govt gov ny nys".split())
-LEVELS = frozenset("city town village county borough township hamlet state".split())
-MODIFIERS = {
-    "north": "n no nth nrth", "south": "s so sth", "east": "e est", "west": "w wst", "upper": "up upr uppr", "lower": "lo lwr low", "new": "nw",
-    "old": "", "port": "pt prt", "fort": "ft frt", "mount": "mt mnt", "saint": "st snt", "lake": "lk", "great": "gt grt", "little": "ltl", "glen": "gln",
-}
-NUMBERS = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5", "vi": "6", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "first": "1", "second": "2", "third": "3"}
-_OF = {"t": "town of", "v": "village of", "c": "city of"}
-_ALSO = {"town": ("township", "twp"), "borough": ("boro",), "department": ("dept",), "corporation": ("corp",)}
-_AMBIGUOUS = {"n": ("north", "new"), "no": ("north",), "s": ("south",), "w": ("west",), "e": ("east",)}
-_NUMBER_SIGN = frozenset("no nr num number nbr".split())
-_SHORT = {s: m for m, all_ in MODIFIERS.items() for s in all_.split()}
-_NONE = -99.0
-
-
-def words_of(name: str) -> list[str]:
-    """Words in lower case without accents; '&' and '/' are 'and', apostrophes and dots inside words vanish, and a
-    bracket of one short word is left out unless it names a level."""
-    text = unicodedata.normalize("NFKD", name)
-    text = "".join(c for c in text if not unicodedata.combining(c) and not 0x200B <= ord(c) <= 0x200F and c not in "­⁠﻿").lower()
-    text = re.sub(r"[(\[]\s*([a-z.]{1,7}|[a-z]{2,7}\d{1,3})\s*[)\]]", lambda m: f" {m.group(1)} " if any(channel(m.group(1).strip("."), v) > -4 for v in LEVELS) else " ", text)
-    text = re.sub(r"(?<![a-z])([tvc])/o(?![a-z])", lambda m: _OF[m.group(1)], text)
-    text = re.sub(r"[’'`´]", "", text)
-    text = re.sub(r"#", " no ", text)
-    text = re.sub(r"(?<![a-z])[a-z](?:\.+[a-z])+\.*(?![a-z])", lambda m: f" {m.group(0).replace('.', '')} ", text)
-    text = re.sub(r"(?<=[a-z])(?=\d)|(?<=\d)(?=[a-z])", " ", text)
-    return re.findall(r"[a-z]+|\d+", text)
-
-
-def one_edit(a: str, b: str) -> bool:
-    """Damerau distance of at most one."""
-    if a == b:
-        return True
-    if abs(len(a) - len(b)) > 1:
-        return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    ra, rb = a[i:], b[i:]
-    return ra[1:] == rb[1:] or ra[1:] == rb or ra == rb[1:] or (len(ra) == len(rb) and len(ra) > 1 and ra[0] == rb[1] and ra[1] == rb[0] and ra[2:] == rb[2:])
-
-
-def distance(a: str, b: str, most: int = 3) -> int:
-    """Damerau distance (adjacent swaps count one), or most + 1."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    two, one = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            v = min(one[j] + 1, row[-1] + 1, one[j - 1] + (x != y))
-            if two and i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                v = min(v, two[j - 2] + 1)
-            row.append(v)
-        if min(row) > most:
-            return most + 1
-        two, one = one, row
-    return min(one[-1], most + 1)
-
-
-@lru_cache(maxsize=1 << 18)
-def channel(typed: str, word: str) -> float:
-    """Log likelihood that ``word`` is typed like this."""
-    if typed == word:
-        return 0.0
-    if not typed or not word or typed.isdigit() or word.isdigit():
-        return _NONE
-    n = len(typed)
-    for other in _ALSO.get(word, ()):
-        if typed == other or (n >= 5 and one_edit(typed, other)):
-            return -0.5 if typed == other else -3.0
-    if typed[0] == word[0] and n < len(word):
-        if n >= 2 and word.startswith(typed):
-            return -1.0 if n >= 3 else -2.0
-        it = iter(word)
-        if n >= 2 and n <= 0.8 * len(word) and all(c in it for c in typed):
-            return -1.5 if n >= 3 else -2.5
-    if n >= 3 and len(word) >= 4 and one_edit(typed, word):
-        return -2.5
-    if n >= 6 and len(word) >= 6 and distance(typed, word, 2) <= 2:
-        return -5.0
-    if n >= 4 and n < len(word) and any(one_edit(typed, word[:k]) for k in (n - 1, n, n + 1)):
-        return -4.0
-    return _NONE
-
-
-def modifier(word: str) -> tuple[str | None, float]:
-    if word in MODIFIERS:
-        return word, 0.0
-    if word in _SHORT:
-        return _SHORT[word], -1.0
-    if len(word) >= 4:
-        for m in MODIFIERS:
-            if len(m) >= 4 and one_edit(word, m):
-                return m, -2.5
-    return None, _NONE
-
-
-def place_of(words: list[str]) -> tuple[str, str, float]:
-    """Modifiers (sorted), head, and log likelihood of the words that aren't part of a kind."""
-    mods, head, cost = [], [], 0.0
-    for k, w in enumerate(words):
-        m, c = modifier(w) if len(words) > 1 and len(mods) < len(words) - 1 else (None, 0.0)
-        if m and (len(w) > 2 or k == 0 or len(words) == 2):
-            mods.append(m)
-            cost += c
-        else:
-            head.append(w)
-    return " ".join(sorted(mods)), " ".join(head), cost - 4.0 * max(0, len(head) - 1)
-
-
-def parse_official(name: str) -> tuple[str, str, str, str] | None:
-    """(modifiers, head, kind, number) of an official name: a level of a place, or modifiers, a place word, a kind."""
-    words = words_of(name)
-    number = ""
-    kept = []
-    for k, w in enumerate(words):
-        if w.isdigit() or (w in NUMBERS and k == len(words) - 1 and len(words) > 2):
-            number = NUMBERS.get(w, w).lstrip("0") or "0"
-        elif not (w in _NUMBER_SIGN and k + 1 < len(words) and (words[k + 1].isdigit() or words[k + 1] in NUMBERS)):
-            kept.append(w)
-    if len(kept) >= 3 and kept[0] in LEVELS and kept[1] == "of":
-        mods, head, _ = place_of([w for w in kept[2:] if w not in EMPTY])
-        return mods, head, kept[0], number
-    content = [w for w in kept if w not in EMPTY]
-    k = 0
-    while k < len(content) - 1 and content[k] in MODIFIERS:
-        k += 1
-    if k >= len(content):
-        return None
-    return " ".join(sorted(content[:k])), content[k], " ".join(w for w in kept[kept.index(content[k]) + 1 :] if w != "the"), number
-
-
-def _alternatives(words: list[str]) -> list[list[str]]:
-    """The words, or, with a single letter that may stand for several modifiers, each of those."""
-    at = next((k for k, w in enumerate(words) if len(words) > 1 and len(_AMBIGUOUS.get(w, ())) > 1), None)
-    return [words] if at is None else [[*words[:at], m, *words[at + 1 :]] for m in _AMBIGUOUS[words[at]]]
-
-
-class KindModel:
-    """Takes typed names apart by the kinds of the official names."""
-
-    def __init__(self, kinds: list[str]):
-        self.kinds = []
-        for k in kinds:
-            plain = [w for w in k.split() if w not in EMPTY]
-            initials = {"".join(w[0] for w in plain), "".join(w[0] for w in k.split())} if len(plain) > 1 or len(k.split()) > 1 else set()
-            self.kinds.append((k, plain, initials))
-        self.spread = Counter(w for _, plain, _ in self.kinds for w in set(plain))
-        self.read = lru_cache(maxsize=1 << 18)(self._read)
+#: Rows that a typed spelling needs to be a canonical form beside the official ones.
+FREQUENT = 2
+#: Log weight of an office that nobody knows; least posterior of a link. Words that together cost more than the
+#: former can't all stay unread.
+UNKNOWN, LEAST_POSTERIOR = -5.0, 0.5
+#: Labelled rows (typed name, record) by which rates of words left out and put in are fitted, at most.
+LABELLED = 5_000
+
+
+def canonical_forms(registry: DataFrame, known: DataFrame, typed: DataFrame, id: str, names: list[str], name: str, known_id: str) -> DataFrame:
+    """form, id, share (of the form's uses that mean this record), seen (rows that are spelled like this, and records
+    that are named like this): official spellings, and those typed for known records FREQUENT times or more."""
+    each = [registry.select(F.col(id).alias("id"), F.col(n).alias("form")) for n in names]
+    official = each[0]
+    for e in each[1:]:
+        official = official.unionByName(e)
+    official = official.where("id is not null and trim(form) <> ''").distinct().withColumn("official", F.lit(1))
+    ids = registry.select(F.col(id).alias("id")).distinct()
+    meant = known.select(F.lower(F.trim(known_id)).alias("id"), F.col(name).alias("form")).where("id is not null and trim(form) <> ''").join(ids, "id", "left_semi")
+    often = meant.groupBy("form", "id").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    uses = official.unionByName(often.select("id", "form", F.lit(0).alias("official"))).groupBy("form", "id").agg(F.max("official").alias("official"))
+    uses = uses.join(meant.groupBy("form", "id").agg(F.count("*").alias("n")), ["form", "id"], "left").withColumn("uses", F.coalesce("n", F.lit(0)) + F.col("official"))
+    rows = typed.select(F.col(name).alias("form")).groupBy("form").agg(F.count("*").alias("rows"))
+    total = uses.groupBy("form").agg(F.sum("uses").alias("all"), F.max("official").alias("o"))
+    shared = uses.join(total, "form").join(rows, "form", "left")
+    return shared.select("form", "id", (F.col("uses") / F.col("all")).alias("share"), (F.coalesce("rows", F.lit(0)) + F.col("o")).alias("seen"))
+
+
+def labelled_pairs(known: DataFrame, registry: DataFrame, name: str, known_id: str, id: str, reg_name: str) -> list[tuple[str, str]]:
+    """At most LABELLED distinct pairs (typed name, official name of the record that the row says it means)."""
+    official = registry.select(F.col(id).alias("id"), F.col(reg_name).alias("official")).where("trim(official) <> ''")
+    pairs = known.select(F.lower(F.trim(known_id)).alias("id"), F.col(name).alias("typed")).where("trim(typed) <> ''").join(official, "id").select("typed", "official").distinct()
+    return [tuple(r) for r in pairs.orderBy(F.xxhash64("typed", "official"), "typed", "official").limit(LABELLED).collect()]
+
+
+def _keys(words: DataFrame) -> DataFrame:
+    """Every key under which a spelling can be met: its words, initials of its runs, neighbours written as one."""
 
-    def _read(self, name: str) -> list[tuple[str, str, str, str, float]]:
-        """The best readings (modifiers, head, kind, number, log likelihood) of a typed name, best first."""
-        words = words_of(name)
-        number, kept = "", []
-        for k, w in enumerate(words):
-            if w.isdigit():
-                number = w.lstrip("0") or "0"
-            elif w in NUMBERS and k and (len(w) > 1 or k == len(words) - 1 or words[k + 1] in EMPTY):
-                number = NUMBERS[w]
-            elif w in _NUMBER_SIGN and k + 1 < len(words) and (words[k + 1].isdigit() or words[k + 1] in NUMBERS):
-                continue
-            elif w not in EMPTY:
-                kept.append(w)
-        out = []
-        for kind, plain, initials in self.kinds:
-            best = self._align(kept, plain)
-            for i, w in enumerate(kept):
-                if w in initials:
-                    one = (-1.5, kept[:i] + kept[i + 1 :])
-                elif len(w) > 2 and w[1:] in initials and len(kept) > 1 and any(x[0] == w[0] for x in kept if x != w):
-                    one = (-2.5, kept[:i] + kept[i + 1 :])
-                else:
-                    continue
-                if best is None or one[0] - 3.0 * max(0, len(one[1]) - 2) > best[0] - 3.0 * max(0, len(best[1]) - 2):
-                    best = one
-            if best:
-                for rest in _alternatives(best[1]):
-                    mods, head, cost = place_of(rest)
-                    out.append((mods, head, kind, number, best[0] + cost - (rest != best[1])))
-                    glued = next((m for m in MODIFIERS if not mods and head.startswith(m) and len(head) > len(m) + 3), None)
-                    if glued:
-                        out.append((glued, head[len(glued) :], kind, number, best[0] + cost - 3.0))
-        out.sort(key=lambda r: -r[4])
-        return [r for r in out[:READINGS] if r[4] > -14.0 and r[4] > out[0][4] - 7.0]
-
-    def _align(self, typed: list[str], plain: list[str]):
-        """Each word of the kind takes the typed word that suits it best; some, but not most, may be lost."""
-        pairs = sorted(((channel(w, c), i, j) for i, w in enumerate(typed) for j, c in enumerate(plain)), reverse=True)
-        used_w, used_c, total = set(), set(), 0.0
-        for score, i, j in pairs:
-            if score <= -6:
-                break
-            if i not in used_w and j not in used_c:
-                used_w.add(i)
-                used_c.add(j)
-                total += score
-        lost = len(plain) - len(used_c)
-        telling = all(self.spread[plain[j]] == 1 and len(plain[j]) > 4 for j in used_c)  # words of this kind alone
-        if not used_c or lost > len(used_c) or (len(plain) == 2 and lost and not telling):
-            return None
-        return total - 2.5 * lost, [w for i, w in enumerate(typed) if i not in used_w]
-
-
-def official_forms(registry: DataFrame, id: str, name: str) -> DataFrame:
-    """id, mods, head, kind, number of every official name that can be taken apart, in the shared folder."""
-
-    def run(batches):
-        for pdf in batches:
-            rows = [(i, *p) for i, n in zip(pdf["id"], pdf["name"]) if n and (p := parse_official(n))]
-            yield pd.DataFrame(rows, columns=["id", "mods", "head", "kind", "number"])
-
-    given = registry.select(F.col(id).alias("id"), F.col(name).alias("name")).where("id is not null and name is not null")
-    return written(given.mapInPandas(run, "id string, mods string, head string, kind string, number string").distinct(), "forms")
-
-
-def learn_kinds(forms: DataFrame) -> list[str]:
-    top = forms.where("kind <> ''").groupBy("kind").agg(F.countDistinct("head").alias("n")).orderBy(F.desc("n"), "kind").limit(KINDS)
-    return [r.kind for r in top.collect()]
-
-
-def read_names(rows: DataFrame, name: str, kinds: list[str]) -> DataFrame:
-    """Readings of each distinct typed name: name, mods, head, kind, number, cost."""
+    @F.pandas_udf("array<string>")
+    def keys(names: pd.Series) -> pd.Series:
+        def one(ws):
+            ws = list(ws)
+            plain = [w for w in ws if w not in EMPTY]
+            return sorted({*plain, *(f"{k}." for k in lexicon.initials_of(ws)), *(f"{a}{b}+" for a, b in zip(plain, plain[1:]))})
 
-    def run(batches):
-        model = KindModel(kinds)
-        for pdf in batches:
-            out = [(n, *r) for n in pdf["name"] for r in model.read(n)]
-            yield pd.DataFrame(out, columns=["name", "mods", "head", "kind", "number", "cost"])
+        return pd.Series([one(ws) for ws in names], dtype=object)
 
-    distinct = rows.select(F.col(name).alias("name")).where("name is not null and trim(name) <> ''").distinct()
-    # few bytes, but much work for each: not to be gathered into few tasks
-    distinct = distinct.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return distinct.mapInPandas(run, "name string, mods string, head string, kind string, number string, cost double")
+    return words.select("form", F.explode(keys("words")).alias("key"))
 
 
-def _deletions(w: str) -> list[str]:
-    return list(dict.fromkeys([w, *(w[:i] + w[i + 1 :] for i in range(len(w)))])) if len(w) >= 4 else [w]
+def meet(typed: DataFrame, forms: DataFrame, common: Common, model: Channel) -> DataFrame:
+    """Pairs (name, words, form, form_words) that can be worth more than UNKNOWN: of each typed name those words are
+    taken, those with the shortest lists first, that can't all stay unread, and every form that holds a reading of one
+    of them is met. ``typed(name, words)``, ``forms(form, words)``."""
+    lists = written(_keys(forms), "form_keys")
+    known = lists.groupBy("key").agg(F.count("*").alias("rows"))
 
+    @F.pandas_udf("array<struct<w:string,cost:double>>")
+    def unread(names: pd.Series) -> pd.Series:
+        return pd.Series([[(w, model.cost_in(w)) for w in dict.fromkeys(x for x in ws if x not in EMPTY)] for ws in names], dtype=object)
 
-def resolve_places(typed: DataFrame, official: DataFrame) -> DataFrame:
-    """Distinct heads as typed against distinct official heads: typed, head, cost. Both sides leave marks (the word with
-    one letter left out; official ones also their beginnings), and only words with a mark in common are compared."""
+    asked = written(typed.select("name", F.explode(unread("words")).alias("u")).select("name", F.col("u.w").alias("w"), F.col("u.cost").alias("cost")), "asked")
+    distinct = written(asked.select("w").distinct(), "typed_words")
 
     @F.pandas_udf("array<string>")
-    def typed_marks(words: pd.Series) -> pd.Series:
-        return pd.Series([[f"d{x}" for x in _deletions(w.replace(" ", ""))] + ([f"p{w}"] if len(w) >= 4 else []) for w in words], dtype=object)
-
-    @F.pandas_udf("array<string>")
-    def official_marks(words: pd.Series) -> pd.Series:
-        return pd.Series([[f"d{x}" for x in _deletions(w.replace(" ", ""))] + [f"p{w[:k]}" for k in range(4, len(w) - 1)] for w in words], dtype=object)
-
-    @F.pandas_udf("double")
-    def cost(a: pd.Series, b: pd.Series) -> pd.Series:
-        def one(t, o):
-            t, o = t.replace(" ", ""), o.replace(" ", "")
-            if t == o:
-                return 0.0
-            if len(t) >= 4 and len(o) > len(t) + 1 and o.startswith(t):
-                return -4.0
-            d = distance(t, o, 2)
-            return -4.0 if d == 1 else -7.5 if d == 2 and len(o) >= 7 else _NONE
-
-        return pd.Series([one(t, o) for t, o in zip(a, b)], dtype="float64")
-
-    left = typed.select(F.col("head").alias("typed")).where("typed <> ''").distinct().withColumn("mark", F.explode(typed_marks("typed")))
-    right = official.select("head").where("head <> ''").distinct().withColumn("mark", F.explode(official_marks("head")))
-    met = left.join(right, "mark").select("typed", "head").distinct()
-    return met.withColumn("place_cost", cost("typed", "head")).where("place_cost > -50")
-
-
-def link_variants(variants: DataFrame, known: DataFrame, registry: DataFrame, row_id: str, name: str, known_id: str, reg_id: str, reg_name: str) -> DataFrame:
+    def usual(ws: pd.Series) -> pd.Series:
+        return pd.Series([[w, f"{w}.", f"{w[1:]}.", f"{w}+", *(r for r, _ in common.stands_for(w) if " " not in r)] for w in ws], dtype=object)
+
+    rare = lexicon.rare_words(distinct.where("not w rlike '^[0-9]+$'"), known.where("not key rlike '[0-9.+]'").select(F.col("key").alias("w")))
+    # one word of a name that was typed as two is met by its beginning
+    readings = distinct.select("w", F.explode(usual("w")).alias("key")).unionByName(rare.select(F.col("typed").alias("w"), F.col("word").alias("key"))).distinct()
+    readings = written(readings.join(known, "key"), "readings")
+    length = readings.groupBy("w").agg(F.sum("rows").alias("length"))
+    up = Window.partitionBy("name").orderBy("length", "w").rowsBetween(Window.unboundedPreceding, -1)  # the words of a name
+    first = asked.join(length, "w", "left").withColumn("length", F.coalesce("length", F.lit(0)))
+    needed = first.withColumn("before", F.coalesce(F.sum("cost").over(up), F.lit(0.0))).where(F.col("before") >= UNKNOWN).where("length > 0")
+    pairs = needed.select("name", "w").join(readings.select("w", "key"), "w").join(lists, "key").select("name", "form").distinct()
+    return pairs.join(typed, "name").join(forms.select("form", F.col("words").alias("form_words")), "form")
+
+
+def link_variants(variants: DataFrame, known: DataFrame, registry: DataFrame, row_id: str, name: str, known_id: str, reg_id: str, reg_names: list[str], use_prior: bool = True) -> DataFrame:
     """Columns enrichment_id, entity_id, posterior: for each row of ``variants`` the official record that its name most
     probably means, if any reaches LEAST_POSTERIOR; at most one.
 
-    ``known`` rows (name and id of the record meant, some of them wrong) give the prior: how often a record is named.
-    Null, empty and blank names link to nothing. Equal official names share their posterior and at a tie are left
-    unlinked. Repeated rows give one result. Empty tables give no rows. Extra columns are ignored.
+    ``reg_names``: columns with official spellings, the first being the full name. ``known`` rows (name and id of the
+    record meant, some of them wrong) tell how often a spelling and a record are meant, and how words are left out or
+    put in. Null, empty and blank names link to nothing. Records with equal spellings share their posterior and at a tie
+    are left unlinked. Repeated rows give one result. Empty tables give no rows. Extra columns are ignored.
     """
-    forms = official_forms(registry, reg_id, reg_name)
-    kinds = learn_kinds(forms)
-    readings = written(read_names(variants, name, kinds), "readings")
-    places = resolve_places(readings.select("head"), forms.select("head"))
-    counts = known.select(F.lower(F.trim(known_id)).alias("id")).where("id is not null").groupBy("id").agg(F.count("*").alias("seen"))
-    records = forms.join(counts, "id", "left").withColumn("prior", F.log1p(F.coalesce("seen", F.lit(0))) * 0.25)
-    with_place = readings.join(places, readings["head"] == places["typed"]).select("name", "mods", places["head"].alias("head"), "kind", "number", (F.col("cost") + F.col("place_cost")).alias("ll"))
-    # readings whose place no record has compete too
-    unplaced = readings.join(places.where("place_cost = 0").select(F.col("typed").alias("head")), "head", "left_anti").select("name", "mods", "head", "kind", "number", (F.col("cost") - 6.0).alias("ll"))
-    hit = with_place.join(records.select("id", "mods", "head", "kind", "number", "prior"), ["mods", "head", "kind", "number"], "left").unionByName(unplaced, allowMissingColumns=True)
-    weight = F.exp("ll") * F.when(F.col("id").isNull(), UNKNOWN).otherwise(F.exp("prior"))
-    each = hit.groupBy("name", "id").agg(F.sum(weight).alias("w"))
-    # a handful of readings for a name, so the window is small
-    w = Window.partitionBy("name")
-    ranked = each.withColumns({"posterior": F.col("w") / F.sum("w").over(w), "rank": F.row_number().over(w.orderBy(F.desc("w"), F.col("id").isNull().desc(), "id"))})
-    best = ranked.where("rank = 1 and id is not null").where(F.col("posterior") >= LEAST_POSTERIOR).select("name", F.col("id").alias("entity_id"), "posterior")
+    model = lexicon.fit_channel(labelled_pairs(known, registry, name, known_id, reg_id, reg_names[0]))
+    both = variants.select(name).unionByName(known.select(name))
+    forms = written(canonical_forms(registry, known, both, reg_id, reg_names, name, known_id), "forms")
+    form_words = lexicon.name_words(forms, "form", "form")
+    official = registry.select(F.col(reg_names[0]).alias("form")).distinct().join(form_words, "form")
+    common = lexicon.learn_common(official)
+    typed = lexicon.name_words(variants, name)
+    pairs = meet(typed, form_words, common, model)
+
+    def score(batches):
+        for pdf in batches:
+            each = [model.score([w for w in t if w not in EMPTY], list(f)) for t, f in zip(pdf["words"], pdf["form_words"])]
+            yield pd.DataFrame({"name": pdf["name"], "form": pdf["form"], "ll": each})
+
+    wide = int(variants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = pairs.repartition(wide, "name", "form").mapInPandas(score, "name string, form string, ll double").where(F.col("ll") > UNKNOWN + NEVER)
+    scored = written(scored, "scored")
+    # how often a record is meant at all, and how often by this spelling
+    counts = known.select(F.lower(F.trim(known_id)).alias("id")).where("id is not null").groupBy("id").agg(F.count("*").alias("meant"))
+    prior = (F.log1p(F.coalesce("meant", F.lit(0))) + F.log1p("seen")) / 4 if use_prior else F.lit(0.0)
+    weighed = scored.join(forms, "form").join(counts, "id", "left").withColumn("w", F.exp(F.col("ll") + prior) * F.col("share"))
+    each = weighed.groupBy("name", "id").agg(F.max("w").alias("w"))
+    total = each.groupBy("name").agg(F.sum("w").alias("all"), F.max_by(F.struct("id", "w"), F.struct("w", "id")).alias("best"))
+    posterior = F.col("best.w") / (F.col("all") + F.exp(F.lit(UNKNOWN)))
+    best = total.select("name", F.col("best.id").alias("entity_id"), posterior.alias("posterior")).where(F.col("posterior") > LEAST_POSTERIOR)
     rows = variants.select(F.col(row_id).alias("enrichment_id"), F.col(name).alias("name")).where("enrichment_id is not null").distinct()
-    linked = rows.join(best, "name")
-    one = Window.partitionBy("enrichment_id").orderBy(F.desc("posterior"), "entity_id")
-    return linked.withColumn("k", F.row_number().over(one)).where("k = 1").select("enrichment_id", "entity_id", "posterior")
+    linked = rows.join(best, "name").groupBy("enrichment_id").agg(F.max_by(F.struct("entity_id", "posterior"), F.struct("posterior", "entity_id")).alias("b"))
+    return linked.select("enrichment_id", "b.entity_id", "b.posterior")

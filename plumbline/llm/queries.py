@@ -39,7 +39,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _greenbook(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "greenbook_enrichment").withColumn("agency_name", F.col("matched_from.agency_name"))
+    return table(spark, d, "greenbook_enrichment").withColumns({"agency_name": F.col("matched_from.agency_name"), "confidence_score": F.col("matched_from.confidence_score")})
 
 
 def p2_links(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +54,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_links(spark: SparkSession, d: str) -> DataFrame:
     """Each linked row with its posterior."""
     rows, registry = _greenbook(spark, d), table(spark, d, "registry")
-    return names.link_variants(rows.where("entity_id is null"), rows.where("entity_id is not null"), registry, "enrichment_id", "agency_name", "entity_id", "id", "name")
+    return names.link_variants(rows.where("entity_id is null"), rows.where("entity_id is not null"), registry, "enrichment_id", "agency_name", "entity_id", "id", ["name", "short_name"])
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

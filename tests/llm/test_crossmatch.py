@@ -1,8 +1,10 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from plumbline.llm import crossmatch
+from plumbline.session import table
 
-G = "enrichment_id long, entity_id string, agency_name string, contact_details array<struct<type:string,value:string,note:string>>, web_candidates array<string>"
+G = "enrichment_id long, entity_id string, agency_name string, confidence_score double, contact_details array<struct<type:string,value:string,note:string>>, web_candidates array<string>"
 C = "contact_id long, agency string, agency_contact_url string, phone string, address_line_1 string, city string, zip string"
 REG = [(f"{p}-{k}", f"{p.title()} {n}") for p in ("foobarville", "quuxholm", "zedfordham") for k, n in (("ha", "Housing Authority"), ("pl", "Public Library"), ("w1", "Water District No. 1"), ("w2", "Water District No. 2"))]
 
@@ -11,8 +13,9 @@ def addr(street, city):
     return [("address", f"{street}, {city}, NY 12345", None), ("voice", "(100) 555-0199", None)]
 
 
-def run(spark, g, c, reg=REG):
-    out = crossmatch.match_offices(spark.createDataFrame(g, G), spark.createDataFrame(c, C), spark.createDataFrame(reg, "id string, name string"))
+def run(spark, g, c, reg=REG, **off):
+    g = spark.createDataFrame([(*r[:3], None, *r[3:]) for r in g], G).withColumn("q", F.lit(1))
+    out = crossmatch.match_offices(g, spark.createDataFrame(c, C).withColumn("words", F.lit(1)), spark.createDataFrame(reg, "id string, name string"), **off)
     return sorted((r.enrichment_id, r.contact_id) for r in out.collect())
 
 
@@ -40,9 +43,8 @@ def test_pairs(spark):
     assert run(spark, [], c) == [] and run(spark, g, []) == []
 
 
-def test_hot_organisation(spark, monkeypatch):
+def test_hot_organisation(spark):
     """Rows of an organisation that holds a third of all rows and says only its name are matched, however many there are."""
-    monkeypatch.setattr(crossmatch, "COMMON_ROWS", 1)
     places = [f"{a}{b}" for a in ("alder", "birch", "cedar", "maple") for b in ("ford", "holm", "wick", "mont", "stead")]
     reg = REG + [(f"{p}-pl", f"{p.title()} Public Library") for p in places]
     g = [(i, None, "Foobarville Housing Authority", None, None) for i in range(10)] + [(100 + i, None, f"{p.title()} Public Library", None, None) for i, p in enumerate(places)]
@@ -51,26 +53,37 @@ def test_hot_organisation(spark, monkeypatch):
     assert run(spark, g, c, reg) == want
 
 
+def test_parts_decide(spark, data):
+    """Every part of the method changes the pairs: BM25 weights, the mutual test, the calibration."""
+    big = data.replace("sf0.001", "sf0.01")
+    g = table(spark, big, "greenbook_enrichment").withColumns({"agency_name": F.col("matched_from.agency_name"), "confidence_score": F.col("matched_from.confidence_score")})
+    pairs = lambda **off: {(r.enrichment_id, r.contact_id) for r in crossmatch.match_offices(g, table(spark, big, "agency_contacts"), table(spark, big, "registry"), **off).collect()}
+    whole = pairs()
+    hosts = g.select("enrichment_id", F.explode(F.transform("web_candidates", crossmatch.host_of)).alias("h"))
+    same = hosts.join(table(spark, big, "agency_contacts").select("contact_id", crossmatch.host_of(F.col("agency_contact_url")).alias("h")), "h")
+    same = {(r.enrichment_id, r.contact_id) for r in same.collect()}
+    assert len(same & whole) >= 0.9 * len(same)
+    for off in ({"weighed": False}, {"mutual": False}, {"calibrated": False}):
+        assert pairs(**off) != whole, off
+
+
 def test_pruning_is_exact(spark):
-    """With candidates pruned, every pair within reach of a row's best score is still there."""
+    """With candidates pruned, every pair within reach of the best score of either class is still there."""
     rng = np.random.default_rng(4)
-    docs = [(i, [f"t{t}" for t in set(rng.zipf(1.5, 6) % 60)]) for i in range(120)]
-    queries = [(i, [f"t{t}" for t in set(rng.zipf(1.5, 6) % 60)]) for i in range(80)]
-    df = {}
-    for _, ts in docs:
-        for t in ts:
-            df[t] = df.get(t, 0) + 1
-    gain = {t: float(np.log(1 + 120 / n)) for t, n in df.items()}
-    both = [(1, i, t, gain[t]) for i, ts in docs for t in ts] + [(0, i, t, 1.0) for i, ts in queries for t in ts]
-    floor = 1.0
-    pairs = crossmatch._candidates(spark.createDataFrame(both, "side int, id long, term string, gain double"), floor)
-    got = {(r.q, r.id) for r in pairs.where("side = 0").collect()}
-    for q, ts in queries:
-        s = {i: sum(gain[t] for t in set(ts) & set(dt)) for i, dt in docs}
-        best = max(s.values())
-        for i, v in s.items():
-            if v >= max(floor, crossmatch.NEAR * best) + 1e-9:
-                assert (q, i) in got
+    bags = {(side, i): {f"t{t}" for t in rng.zipf(1.5, 6) % 60} for side, n in ((0, 80), (1, 120)) for i in range(n)}
+    df = {t: sum(t in b for b in bags.values()) for b in bags.values() for t in b}
+    gain = {k: {t: float(np.sqrt(np.log(1 + 200 / df[t]) / len(b) ** 0.3)) for t in b} for k, b in bags.items()}
+    postings = spark.createDataFrame([(side, i, t, v) for (side, i), b in gain.items() for t, v in b.items()], "side int, q long, term string, gain double")
+    pairs = crossmatch._candidates(postings)
+    got = {(r.g, r.c): r.score for r in crossmatch.scores(pairs, postings).collect()}
+    score = lambda a, b: sum(v * gain[b].get(t, 0.0) for t, v in gain[a].items())
+    for a in bags:
+        s = {b: score(a, b) for b in bags if b[0] != a[0]}
+        for b, v in s.items():
+            key = (a[1], b[1]) if a[0] == 0 else (b[1], a[1])
+            if key in got:
+                assert abs(got[key] - v) < 1e-9
+            assert key in got or v < crossmatch.NEAR * max(s.values()) + 1e-9
 
 
 def test_logistic():
@@ -79,4 +92,4 @@ def test_logistic():
     y = (x @ [2, -1, 0.5] + 0.3 + rng.logistic(size=500) > 0).astype(float)
     w = crossmatch.fit_logistic(x, y, np.zeros(4))
     assert np.all(np.sign(w[1:]) == [1, -1, 1])
-    assert (crossmatch.fit_logistic(x, np.ones(500)) == crossmatch.PRIOR).all()
+    assert (crossmatch.fit_logistic(np.ones((500, 5)), np.ones(500)) == crossmatch.PRIOR).all()
