@@ -2,15 +2,19 @@
 
 Texts are cut into messages (sentences and lines). Messages that occur anywhere are mined for templates with a
 fixed-depth prefix tree: number of words, first word, second word, then the most similar template of that leaf, whose
-differing words become variable. Words that matter for the verdict are never variable. Each template is classified once
-and its verdict passed on to all texts that hold a message of it. Unfilled slots in otherwise ordinary text are sought
+differing words become variable. Words that matter for the verdict are never variable. Each template is classified once,
+by a naive Bayes model of its words and pairs of words: a short list of patterns (the seed) takes some templates for
+residue, their words against those of all others teach the model, and the model may take in or reject any template. The
+verdict is passed on to all texts that hold a message of the template. Unfilled slots in otherwise ordinary text are sought
 separately; names of fields are learned from the slots that are plain, and tell slots in ordinary brackets.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,8 +24,11 @@ from plumbline.session import written
 
 #: Share of equal words at which a message joins a template; messages of a leaf that one task takes.
 SIMILARITY, LEAF_MESSAGES = 0.75, 2_000
-#: Field names that are learned, at most (the most frequent ones), each from so many slots at least.
-FIELD_NAMES, FIELD_SEEN = 5_000, 2
+#: Slots that a field name is learned from, at least.
+FIELD_SEEN = 2
+#: Templates by which the words of residue are fitted, at most; log prior of a template that the seed takes for residue
+#: or not; most that one word or pair of words can say; weight of what is expected before anything is seen.
+FITTED, SEEDED, MOST, BELIEF = 20_000, 3.0, 4.0, 4.0
 
 # The usual words of dummy Latin, of keyboard filler, and of parts of a page that filler names.
 LATIN = frozenset(
@@ -29,14 +36,14 @@ LATIN = frozenset(
 )
 KEYBOARD = frozenset("asdf asdfasdf qwerty qwertz foo bar baz blah bla xxx xxxx aaa aaaa zzz test dummy sample content text lorem heading subheading caption headline body copy paragraph placeholder description intro title page".split())
 MARKS = frozenset(
-    "javascript script scripts scripting noscript js cookies browser browsers blocker content human robot captcha puzzle error errors erreur exception traceback warning fatal deprecated found denied forbidden unavailable permission permiso server proxy gateway backend blocked rejected refused suspended parked hosting maintenance session expired timed time-out requests request load loading oops placeholder dummy sample lorem caption headline copy todo fixme here launch delete edit add type write story block words connection secure security check checking moment wait seconds moved deleted".split()
+    "heading intro introduction description paragraph text title body summary blurb page section content image subtitle tagline bio down offline overloaded construction javascript script scripts scripting noscript js cookies browser browsers blocker content human robot captcha puzzle error errors erreur exception traceback warning fatal deprecated found denied forbidden unavailable permission permiso server proxy gateway backend blocked rejected refused suspended parked hosting maintenance session expired timed time-out requests request load loading oops placeholder dummy sample lorem caption headline copy todo fixme here launch delete edit add type write story block words connection secure security check checking moment wait seconds moved deleted".split()
 )
 
 _PART = r"(?:headline|heading|caption|copy|intro(?:duction)?|description|paragraph|text|title|body|summary|blurb|page|section|words|content|image|subtitle|tagline|bio)"
-_NEEDS = r"(?:enabl|activ|allow|switch(?:ed)? o|turn(?:ed)? o|disabl|requir|need|block|accept|unblock|permit|support|without|not available|unavailable|missing)"
+_NEEDS = r"(?:enabl|activ|allow|switch(?:ed)? o|turn(?:ed)? o|disabl|requir|need|block|accept|unblock|permit|(?:not|n.t) support|without|not available|unavailable|missing)"
 _SCRIPT = r"(?:java ?scripts?|scripts?|scripting|js|active content|cookies)"
 _THING = r"(?:page|url|file|resource|object|document|site|address|recurso|página|page)"
-#: Templates of these kinds are residue. Each pattern is matched against a whole message in lower case.
+#: The seed: templates of these kinds are taken for residue at first. Each pattern is matched against a whole template.
 KINDS: dict[str, list[str]] = {
     "filler": [
         r"\blorem ipsum\b|\bblah blah\b|\basdf\b|\bqwerty\b|^test test\b",
@@ -92,8 +99,8 @@ KINDS: dict[str, list[str]] = {
         r"^noscript\b|\bad[- ]?blocker\b",
         r"\b(?:rendered on the client|scripts first)\b|\bfull experience\b",
         r"^(?:you must |you have to |you need to |first |please |kindly )?(?:enable|activate|allow|switch on|turn on) (?:it|them)\b.*\b(?:reload|settings|run|view|see|use|continue)\b|^please allow it to\b|\bfirst (?:activate|enable|allow|turn on|switch on) (?:it|them)\b",
-        r"\byour (?:web )?browser\b|\b(?:update|upgrade|another|different|newer|modern) (?:\w+ )?browser\b|\bsu navegador\b|\bvotre navigateur\b|\bihr browser\b",
-        r"\b(?:verify|confirm|prove|check) (?:that )?(?:you are|you.re) (?:a )?(?:human|not a robot)\b|\bnot a robot\b|\bare you (?:a )?human\b|\bcaptcha\b",
+        r"\b(?:in|by|with) your (?:web )?browser$|\byour (?:web )?browser (?:is|was|has|does|do|can|blocks?|must|needs?|settings)\b|\b(?:update|upgrade|another|different|newer|modern) (?:\w+ )?browser\b|\bsu navegador\b|\bvotre navigateur\b|\bihr browser\b",
+        r"\b(?:verify|confirm|prove|check) (?:that )?(?:you are|you.re) (?:a )?(?:human|not a robot)\b|\bi.?a?m not a robot\b|\bare you (?:a )?human\b|\b(?:complete|solve|enter|type) (?:the|this|a) captcha\b",
         r"\bsecurity check\b(?!s)|\bsolve (?:the|this) puzzle\b|\bpress and hold\b",
         r"^just a moment\b|^one (?:more step|moment)\b.*|\bchecking your\b|\bwhile we (?:make sure|check|verify)\b|\bddos\b|\bmake sure your connection\b",
         r"\b(?:will open|redirected?|reload\w*|refresh\w*|continue) in (?:about )?<\*> seconds\b|\bredirected automatically\b",
@@ -104,21 +111,51 @@ _KINDS = {k: re.compile("|".join(f"(?:{p})" for p in ps), re.UNICODE) for k, ps
 _LETTERS = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
-def classify(template: str) -> str | None:
-    """The kind of residue that a template (or message) in lower case is, or None."""
+def seed_match(template: str) -> tuple[str, str] | None:
+    """The kind of residue that the seed takes a template in lower case for, and the words around what tells so."""
     text = template.lstrip(" \t.!*#>|-–•\"'“”").rstrip(" \t.!|\"'“”")
     words = _LETTERS.findall(text)
     latin = sum(w in LATIN for w in words)
     if latin >= 3 and latin >= 0.5 * len(words):
-        return "filler"
+        return "filler", text
     if len(words) >= 2 and (sum(w in KEYBOARD for w in words) >= 0.75 * len(words)):
-        return "filler"
+        return "filler", text
     for kind, pattern in _KINDS.items():
-        if pattern.search(text):
-            return kind
+        if m := pattern.search(text):
+            return kind, " ".join([*text[: m.start()].split()[-4:], m.group(0), *text[m.end() :].split()[:4]])
     return None
 
 
+def features(template: str) -> set[str]:
+    """Words and pairs of neighbouring words, with both ends."""
+    words = ["^", *(w.strip(".,!:;()[]\"'“”’") or w for w in template.split(" ")), "$"]
+    return {w for w in words[1:-1] if w != "<*>"} | {f"{a} {b}" for a, b in zip(words, words[1:])}
+
+
+def fit_model(templates: list[tuple[str, str | None]]) -> dict[str, float]:
+    """Log odds of words and pairs of words, from templates and what the seed takes them for."""
+    good, bad = Counter(), Counter()
+    sizes = [0, 0]
+    for t, kind in templates:
+        (bad if kind else good).update(features(t))
+        sizes[kind is not None] += 1
+    if not all(sizes):
+        return {}
+    share = sizes[1] / sum(sizes)
+    odds = lambda f: math.log((bad[f] + BELIEF * share) / sizes[1]) - math.log((good[f] + BELIEF * (1 - share)) / sizes[0])
+    return {f: max(-MOST, min(MOST, odds(f))) for f in {*bad, *good} if bad[f] + good[f] > 1}
+
+
+def classify(template: str, model: dict[str, float]) -> str | None:
+    """The kind of residue that a template is, or None. What the seed finds is judged with the words around it, any
+    other template as a whole."""
+    seed = seed_match(template)
+    told = [model.get(f, 0.0) for f in features(seed[1] if seed else template)]
+    if (SEEDED if seed else -SEEDED) + sum(told) / max(1.0, len(told)) ** 0.5 <= 0:
+        return None
+    return seed[0] if seed else "other"
+
+
 def messages(text: Column) -> Column:
     """Sentences and lines of a text in lower case, words with digits masked."""
     parts = F.split(F.regexp_replace(text, r"[​-‏⁠﻿­]", ""), r"(?<=[.!?])[\"'”’)]*\s+|[\r\n]+|\s+\|\s+")
@@ -161,52 +198,69 @@ class PrefixTree:
 
 
 def _mine(group: pd.DataFrame) -> pd.DataFrame:
-    """Several whole leaves. A template's verdict is that of its first, most frequent, message: what differs between its
-    messages matters to none."""
+    """The template of each message of several whole leaves."""
     group = group.sort_values(["size", "first", "second", "part", "n", "message"], ascending=[True, True, True, True, False, True])
     columns = (group[c].tolist() for c in ("size", "first", "second", "part", "message"))
     trees: dict[tuple, PrefixTree] = {}
-    verdicts: dict[tuple, str | None] = {}
     of = []
     for *leaf, message in zip(*columns):
         tree = trees.setdefault(tuple(leaf), PrefixTree())
-        key = (*leaf, tree.add(message.split(" ")))
-        if key not in verdicts:
-            verdicts[key] = classify(message)
-        of.append(key)
-    names = [" ".join(trees[k[:-1]].templates[k[-1]]) for k in of]
-    return pd.DataFrame({"message": group["message"].to_numpy(), "template": names, "kind": [verdicts[k] for k in of]})
+        of.append((tree, tree.add(message.split(" "))))
+    return pd.DataFrame({"message": group["message"].to_numpy(), "template": [" ".join(t.templates[k]) for t, k in of]})
 
 
-def mine_templates(texts: DataFrame, text: str) -> DataFrame:
-    """message, template, kind (null: ordinary) for every distinct message of the texts, in the shared folder. A leaf
-    with many messages is split by hash, which can only mine a template twice."""
+def mine_templates(texts: DataFrame, text: str, similarity: float = SIMILARITY) -> DataFrame:
+    """message, template for every distinct message of the texts, in the shared folder. A leaf with many messages is
+    split by hash, which can only mine a template twice."""
     each = texts.select(F.explode(messages(F.col(text))).alias("message")).groupBy("message").agg(F.count("*").alias("n"))
     words = F.split("message", " ")
     each = written(each.withColumns({"size": F.size(words), "first": F.element_at(words, 1), "second": F.coalesce(F.get(words, F.lit(1)), F.lit(""))}), "messages")
+    if similarity > 1:
+        return each.select("message", F.col("message").alias("template"))
     leaf = ["size", "first", "second"]
     crowds = each.groupBy(*leaf).agg(F.ceil(F.count("*") / LEAF_MESSAGES).cast("int").alias("parts"))
     spread = each.join(crowds.where("parts > 1"), leaf, "left").withColumn("part", F.pmod(F.xxhash64("message"), F.coalesce("parts", F.lit(1))))
     tasks = max(1, -(-each.count() // LEAF_MESSAGES))  # many small leaves share a group; the tree keeps them apart
     spread = spread.withColumn("g", F.pmod(F.xxhash64(*leaf, "part"), F.lit(tasks)))
-    wide = max(tasks, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # much work for few bytes
-    mined = spread.select("g", *leaf, "part", "message", "n").repartition(wide, "g").groupBy("g").applyInPandas(_mine, "message string, template string, kind string")
+    wide = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # much work for few bytes; a partition takes its groups in turn
+    mined = spread.select("g", *leaf, "part", "message", "n").repartition(wide, "g").groupBy("g").applyInPandas(_mine, "message string, template string")
     return written(mined, "templates")
 
 
+def judge_templates(mined: DataFrame) -> DataFrame:
+    """message, kind for every message of a template that is residue."""
+    templates = written(mined.select("template").distinct(), "distinct_templates")
+
+    @F.pandas_udf("string")
+    def seed(ts: pd.Series) -> pd.Series:
+        return pd.Series([m[0] if (m := seed_match(t)) else None for t in ts], dtype=object)
+
+    taken = templates.withColumn("kind", seed("template"))
+    # all that the seed takes and as many others as there is room for, each in the order of a hash
+    teachers = taken.where("kind is not null").orderBy(F.xxhash64("template"), "template").limit(FITTED // 2).collect()
+    others = taken.where("kind is null").orderBy(F.xxhash64("template"), "template").limit(FITTED // 2).collect()
+    model = fit_model([(r.template, r.kind) for r in [*teachers, *others]])
+
+    @F.pandas_udf("string")
+    def judge(ts: pd.Series) -> pd.Series:
+        return pd.Series([classify(t, model) for t in ts], dtype=object)
+
+    return mined.join(templates.withColumn("kind", judge("template")).where("kind is not null"), "template").select("message", "kind")
+
+
 # Slots whose syntax leaves no doubt. The first group of each is the field's name.
 _PLAIN = [
-    r"\{\{+\s*([^{}]{1,60}?)\s*\}+\}",
-    r"[$#]\{\s*([^{}]{1,60}?)\s*\}",
-    r"<%[=-]?\s*([^%<>]{1,60}?)\s*-?%>",
-    r"\{%\s*([^{}%]{1,60}?)\s*%\}",
-    r"@@\s*([\w .-]{1,60}?)\s*@@",
-    r"%%\s*([\w .-]{1,60}?)\s*%%",
-    r"(?<!\w)__([A-Za-z][A-Za-z_ ]{1,60}?)__(?!\w)",
-    r"\[\[\s*([^\[\]]{1,60}?)\s*\]\]",
-    r"<<\s*([^<>]{1,60}?)\s*>>",
-    r"(?<![\w$])\$([A-Za-z][A-Za-z_]{2,60})\$",
-    r"(?<![\w%])%([A-Za-z][A-Za-z_]{2,60})%",
+    r"\{\{+\s*([^{}]{1,200}?)\s*\}+\}",
+    r"[$#]\{\s*([^{}]{1,200}?)\s*\}",
+    r"<%[=-]?\s*([^%<>]{1,200}?)\s*-?%>",
+    r"\{%\s*([^{}%]{1,200}?)\s*%\}",
+    r"@@\s*([\w .-]{1,200}?)\s*@@",
+    r"%%\s*([\w .-]{1,200}?)\s*%%",
+    r"(?<!\w)__([A-Za-z][A-Za-z_ ]{1,200}?)__(?!\w)",
+    r"\[\[\s*([^\[\]]{1,200}?)\s*\]\]",
+    r"<<\s*([^<>]{1,200}?)\s*>>",
+    r"(?<![\w$])\$([A-Za-z][A-Za-z_]{2,200})\$",
+    r"(?<![\w%])%([A-Za-z][A-Za-z_]{2,200})%",
     r"\{([A-Za-z]+(?:_[A-Za-z]+)+)\}",
     r"\[([A-Za-z]+(?:_[A-Za-z]+)+)\]",
 ]
@@ -217,13 +271,13 @@ _OTHER = [
     r"(?i)(?<!\w)(?:xx?[/.-]xx?[/.-](?:xx|xxxx|\d\dxx|\d\d\d\d)|dd[/.-]mm[/.-]yyyy|mm[/.-]dd[/.-]yyyy|yyyy[/.-]mm[/.-]dd)(?!\w)",
     r"(?i)\(?x{3}\)?[ .-]?x{3}[ .-]?x{4}",
     r"(?i)(?<!\w)x{4,}(?: x{4,})+(?!\w)|(?<!\w)in yyyy(?!\w)|(?<!\w)from yyyy(?!\w)",
-    r"(?i)[\[(<{]\s*(?:insert|enter|type|fill in|put)\s[^\[\](){}<>]{1,60}[\])>}]",
-    r"(?i)[\[(<{][^\[\](){}<>]{1,60}\s(?:goes here|here|tbd|tba|to come|pending)\s*[\])>}]",
-    r"(?i)[\[<{]\s*(?:your|add|nombre|name|nom|feld|field|champ|campo)(?::|\s)[^\[\](){}<>]{1,60}[\]>}]",
+    r"(?i)[\[(<{]\s*(?:insert|enter|type|fill in|put)\s[^\[\](){}<>]{1,200}[\])>}]",
+    r"(?i)[\[(<{][^\[\](){}<>]{1,200}\s(?:goes here|here|tbd|tba|to come|pending)\s*[\])>}]",
+    r"(?i)[\[<{]\s*(?:your|add|nombre|name|nom|feld|field|champ|campo)(?::|\s)[^\[\](){}<>]{1,200}[\]>}]",
     r"(?<![\w/.<\[{\"'“])(?:NaN|undefined|\[object Object\]|None None|null null)(?![\w/.])(?=\s+(?:is|was|has|of|at|in|and|to|by|please|answers?|can)\b)",
     r"(?:(?:of|by|at|in|for|about|see|the|The|is|with|to|In|At|For|About)\s+)(?:NaN|undefined|null|\[object Object\])(?![\w/-])",
 ]
-_BRACKET = re.compile(r"[\[<{(]\s*([A-Za-z][A-Za-z _-]{2,40}?)\s*[\]>})]")
+_BRACKET = re.compile(r"[\[<{(]\s*([A-Za-z][A-Za-z _-]{2,200}?)\s*[\]>})]")
 _SHOUT = re.compile(r"[<\[{]\s*[A-Z]{3,}(?:[ _][A-Z]+)*\s*[>\]}]")
 _PLAIN_ANY = re.compile("|".join(f"(?:{p})" for p in _PLAIN))
 _OTHER_EACH = [re.compile(p) for p in _OTHER]
@@ -237,46 +291,49 @@ def fields_of(text: str) -> list[str]:
     return [_field(next(g for g in m.groups() if g is not None)) for m in _PLAIN_ANY.finditer(text)]
 
 
-def has_slot(text: str, fields: frozenset[str]) -> bool:
-    """Whether a text holds an unfilled slot. Brackets count if they hold a known field name, or words in capitals amid
-    text that isn't; other uses of brackets are ordinary."""
+def has_slot(text: str) -> bool:
+    """Whether a text holds an unfilled slot by its syntax, or words in capitals in brackets amid text that isn't."""
     text = html.unescape(text) if "&" in text else text
     if _PLAIN_ANY.search(text) or any(p.search(text) for p in _OTHER_EACH):
         return True
-    if any(_field(m.group(1)) in fields for m in _BRACKET.finditer(text)):
-        return True
     letters = [c for c in text if c.isalpha()]
     return bool(letters) and sum(c.isupper() for c in letters) < 0.5 * len(letters) and _SHOUT.search(text) is not None
 
 
-def find_residue(texts: DataFrame, id: str, text: str) -> DataFrame:
-    """Columns desc_id, kind (filler, error, notice or slot; the first of these in the alphabet that holds): one row for
-    each id whose text holds residue, alone or amid real sentences.
+def in_brackets(text: str) -> set[str]:
+    """What a text has in brackets: it is an unfilled slot if it is the name of a field; other uses are ordinary."""
+    text = html.unescape(text) if "&" in text else text
+    return {_field(m.group(1)) for m in _BRACKET.finditer(text)}
+
+
+def find_residue(texts: DataFrame, id: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
+    """Columns desc_id, kind (filler, error, notice, other or slot; the first of these in the alphabet that holds): one
+    row for each id whose text holds residue, alone or amid real sentences.
 
     Null, empty and blank texts are no residue. A repeated id gives one row, a null id none. An empty table gives no
-    rows. Texts are read whole; extra columns are ignored.
+    rows. Texts are read whole; extra columns are ignored. ``similarity`` above 1 leaves every message alone, without
+    templates, to measure what they do.
     """
     import pyarrow as pa
 
     rows = texts.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and trim(text) <> ''")
-
-    def learn(batches):
-        for b in batches:
-            names = [n for t in b.column(0).to_pylist() for n in fields_of(t)]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["field"])
-
-    learned = rows.select("text").mapInArrow(learn, "field string").groupBy("field").agg(F.count("*").alias("n"))
-    top = learned.where(f"n >= {FIELD_SEEN} and length(field) between 2 and 40").orderBy(F.desc("n"), "field").limit(FIELD_NAMES)
-    fields = frozenset(r.field for r in top.collect())
     id_type = rows.schema["id"].dataType.simpleString()
 
     def slots(batches):
         for b in batches:
-            keep = [i for i, t in enumerate(b.column(1).to_pylist()) if has_slot(t, fields)]
-            ids = b.column(0).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(["slot"] * len(keep), pa.string())], names=["id", "kind"])
-
-    bad = mine_templates(rows, "text").where("kind is not null").select("message", "kind")
+            ids, texts_ = b.column(0).to_pylist(), b.column(1).to_pylist()
+            out = []
+            for i, t in zip(ids, texts_):
+                if has_slot(t):
+                    out.append((i, None, None))
+                out += [(None, f, None) for f in fields_of(t)] + [(i, None, f) for f in in_brackets(t)]
+            cols = list(zip(*out)) if out else [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.schema.field(0).type), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=["id", "field", "held"])
+
+    seen = written(rows.mapInArrow(slots, f"id {id_type}, field string, held string"), "slots")
+    fields = seen.where("field is not null").groupBy("field").agg(F.count("*").alias("n")).where(f"n >= {FIELD_SEEN} and length(field) >= 2").select(F.col("field").alias("held"))
+    open_slots = seen.where("field is null and held is null").select("id").unionByName(seen.where("held is not null").join(fields, "held", "left_semi").select("id"))
+    bad = judge_templates(mine_templates(rows, "text", similarity))
     held = rows.select("id", F.explode(F.array_distinct(messages(F.col("text")))).alias("message")).join(bad, "message").select("id", "kind")
-    found = held.unionByName(rows.mapInArrow(slots, f"id {id_type}, kind string"))
+    found = held.unionByName(open_slots.select("id", F.lit("slot").alias("kind")))
     return found.groupBy("id").agg(F.min("kind").alias("kind")).select(F.col("id").alias("desc_id"), "kind")
