@@ -148,14 +148,42 @@ def _classes(rows: DataFrame, official: DataFrame) -> tuple[DataFrame, DataFrame
     return members, written(least.select("side", "q", "terms", "words"), "classes")
 
 
-def _candidates(postings: DataFrame) -> DataFrame:
-    """Pairs (g, c) of classes that can reach NEAR of the best score of either: exact, whatever the lists' lengths.
+def _bags(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes that say the same to the other side are one bag: side, q, bag (the least q), and the postings of bags
+    (their q being the bag). Terms that the other side doesn't have open and add nothing, so they are left out."""
+    shared = written(postings.join(postings.select((1 - F.col("side")).alias("side"), "term").distinct(), ["side", "term"], "left_semi"), "shared")
+    said = shared.groupBy("side", "q").agg(F.array_sort(F.collect_list(F.struct("term", "gain"))).alias("terms"))
+    least = said.groupBy("side", "terms").agg(F.min("q").alias("bag"))
+    of = written(said.join(least, ["side", "terms"]).select("side", "q", "bag"), "bags")
+    return of, written(shared.join(of.where("q = bag").select("side", "q"), ["side", "q"], "left_semi"), "bag_postings")
+
+
+def _opening(classes: DataFrame, weights: DataFrame, bag_of: DataFrame, cost_of) -> DataFrame:
+    """side, q, term: terms of bags that may open candidates. Of two names that agree each holds the rarest telling word
+    of the other, and others must share a host, phone or street, so that no more is needed: a row whose place the other
+    side doesn't know never meets all offices of its kind."""
+    telling = F.filter("words", lambda w: cost_of(w) < FOREIGN)
+    words = classes.select("side", "q", F.explode(F.transform(telling, lambda w: F.xxhash64(F.concat(F.lit("w|"), w)))).alias("term"))
+    rarest = words.join(weights, "term").groupBy("side", "q").agg(F.min_by("term", F.struct(-F.col("idf"), "term")).alias("term"))
+    contacts = classes.select("side", "q", F.explode(F.transform(F.filter("terms", _is_contact), lambda t: F.xxhash64(t))).alias("term"))
+    return rarest.unionByName(contacts).join(bag_of, ["side", "q"]).select("side", F.col("bag").alias("q"), "term").distinct()
+
+
+def _is_contact(t: Column) -> Column:
+    return F.substring(t, 1, 2).isin("h|", "p|", "a|")
+
+
+def _candidates(postings: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """Pairs (g, c) of bags that share a term of ``opening(side, q, term)`` (any term if it is not given) of either and
+    can reach NEAR of the best score of that one: exact, whatever the lists' lengths.
     ``postings(side, q, term, gain)``; a pair's score is the sum of the products of gains of the terms they share."""
     other = (1 - F.col("side")).alias("side")
     top = postings.groupBy(other, "term").agg(F.max("gain").alias("best_gain"), F.count("*").alias("rows"), F.min_by("q", F.struct(-F.col("gain"), "q")).alias("d"))
-    up = Window.partitionBy("side", "q").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)  # the terms of a class
+    # a candidate's score is at most what all terms up to the last one that opens it can add; others than opening ones first
+    up = Window.partitionBy("side", "q").orderBy("opens", "most", "term").rowsBetween(Window.unboundedPreceding, 0)  # the terms of a bag
     asks = postings.join(top, ["side", "term"]).withColumn("most", F.col("gain") * F.col("best_gain"))
-    asked = written(asks.select("side", "q", "term", "rows", "d", "most", F.sum("most").over(up).alias("reach")), "asked")
+    asks = asks.withColumn("opens", F.lit(True)) if opening is None else asks.join(opening.withColumn("opens", F.lit(True)), ["side", "q", "term"], "left").na.fill(False, ["opens"])
+    asked = written(asks.select("side", "q", "term", "rows", "d", "most", "opens", F.sum("most").over(up).alias("reach")).where("opens"), "asked")
     theirs = postings.select(other, "term", F.col("q").alias("d"))
     # the rarest term alone, and of each term the class that says most of it: the best whole score of these is a lower
     # bound of the best
@@ -176,9 +204,9 @@ def _ahead(pairs: DataFrame) -> DataFrame:
 
 def scores(pairs: DataFrame, postings: DataFrame) -> DataFrame:
     """Whole BM25 scores of pairs (g, c): the terms of both are met, so no list is read again as a whole."""
-    bag = lambda side, q, name: postings.where(f"side = {side}").groupBy(F.col("q").alias(q)).agg(F.map_from_entries(F.collect_list(F.struct("term", "gain"))).alias(name))
+    bag = lambda side, q, name: postings.where(f"side = {side}").groupBy(F.col("q").alias(q)).agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("gain").cast("float").alias("gain")))).alias(name))
     met = pairs.join(bag(0, "g", "left_gains"), "g").join(bag(1, "c", "right_gains"), "c")
-    shared = F.aggregate(F.map_entries("left_gains"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at("right_gains", e["key"]), F.lit(0.0)))
+    shared = F.aggregate(F.map_entries("left_gains"), F.lit(0.0), lambda s, e: s + e["value"].cast("double") * F.coalesce(F.try_element_at("right_gains", e["key"]).cast("double"), F.lit(0.0)))
     return met.select("g", "c", shared.alias("score"))
 
 
@@ -228,22 +256,34 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     rows = written(both.groupBy("side", "id").agg(F.max("r").alias("r")).select("side", "id", "r.*"), "rows")
     members, classes = _classes(rows, official)
     n, mean = classes.agg(F.count("*"), F.coalesce(F.avg(F.size("terms")), F.lit(1.0))).first()
-    each = classes.select("side", "q", ((K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / mean))).alias("norm"), F.explode("terms").alias("term"))
+    each = classes.select("side", "q", ((K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / mean))).alias("norm"), F.explode(F.transform("terms", lambda t: F.xxhash64(t))).alias("term"))  # eight bytes for a term
     sizes = members.groupBy("side", "q").agg(F.count("*").alias("m"))
     rows_n = members.count()
     weights = each.join(sizes, ["side", "q"]).groupBy("term").agg(F.sum("m").alias("n")).select("term", (F.log(1 + (rows_n - F.col("n") + 0.5) / (F.col("n") + 0.5)) if weighed else F.lit(1.0)).alias("idf"))
     postings = written(each.join(weights, "term").select("side", "q", "term", F.sqrt(F.col("idf") * F.col("norm")).alias("gain")), "postings")
-    shared = written(postings.join(postings.select((1 - F.col("side")).alias("side"), "term").distinct(), ["side", "term"], "left_semi"), "shared")
-    pairs = written(_candidates(shared), "pairs")
+    bag_of, bags = _bags(postings)
     cost_of = _cost(model)
+    pairs = written(_candidates(bags, _opening(classes, weights, bag_of, cost_of)), "pairs")
     cost = lambda a: F.aggregate(a, F.lit(0.0), lambda s, w: s + cost_of(w))
-    of = lambda side, p: classes.where(f"side = {side}").select(F.col("q").alias(p), F.col("terms").alias(f"{p}_terms"), F.col("words").alias(f"{p}_words"), F.concat_ws(" ", F.filter("words", lambda w: cost_of(w) < FOREIGN)).alias(f"{p}_office"))
-    scored = written(scores(pairs, shared).join(of(0, "g"), "g").join(of(1, "c"), "c"), "scored")
+    # pairs stay thin and between bags until few are left: an office is the hash of its telling words; a bag of several
+    # offices is an office of its own whose members are as near as it is
+    telling = F.xxhash64(F.concat_ws(" ", F.filter("words", lambda w: cost_of(w) < FOREIGN)))
+    offices = classes.select("side", "q", telling.alias("o")).join(bag_of, ["side", "q"]).groupBy("side", "bag").agg(F.min("o").alias("o"), (F.min("o") != F.max("o")).alias("several"))
+    office = lambda side, p: offices.where(f"side = {side}").select(F.col("bag").alias(p), F.when(F.col("several"), F.xxhash64(F.lit("several"), "bag")).otherwise(F.col("o")).alias(f"{p}_office"), F.col("several").alias(f"{p}_several"))
+    scored = written(scores(pairs, bags).join(office(0, "g"), "g").join(office(1, "c"), "c"), "scored")
+    told = scored.join(_gaps(scored, "g", "c_office", "g_other"), ["g", "c_office"]).join(_gaps(scored, "c", "g_office", "c_other"), ["c", "g_office"])
+    told = told.withColumns({"g_other": F.when(F.col("c_several"), F.greatest("g_other", "score")).otherwise(F.col("g_other")), "c_other": F.when(F.col("g_several"), F.greatest("c_other", "score")).otherwise(F.col("c_other"))})
+    if mutual:  # and told apart from others on one side at least
+        near = (F.col("score") >= NEAREST * F.col("g_other")) & (F.col("score") >= NEAREST * F.col("c_other"))
+        told = told.where(near & ((F.col("score") > F.col("g_other")) | (F.col("score") > F.col("c_other"))))
+    near_bags = written(told.select(F.col("g").alias("g_bag"), F.col("c").alias("c_bag"), "score", "g_other", "c_other"), "near")
+    inside = lambda side, p: bag_of.where(f"side = {side}").select(F.col("bag").alias(f"{p}_bag"), F.col("q").alias(p))
+    told = near_bags.join(inside(0, "g"), "g_bag").join(inside(1, "c"), "c_bag").drop("g_bag", "c_bag")
+    of = lambda side, p: classes.where(f"side = {side}").select(F.col("q").alias(p), F.col("terms").alias(f"{p}_terms"), F.col("words").alias(f"{p}_words"))
     most = postings.groupBy("side", "q").agg(F.sum(F.col("gain") * F.col("gain")).alias("most"))
     side = lambda k, p: most.where(f"side = {k}").select(F.col("q").alias(p), F.col("most").alias(f"{p}_most"))
     stated = members.where("side = 0").groupBy(F.col("q").alias("g")).agg(F.coalesce(F.avg("sure"), F.lit(50.0)).alias("sure"))
-    told = scored.join(_gaps(scored, "g", "c_office", "g_other"), ["g", "c_office"]).join(_gaps(scored, "c", "g_office", "c_other"), ["c", "g_office"])
-    told = told.join(side(0, "g"), "g").join(side(1, "c"), "c").join(stated, "g")
+    told = told.join(of(0, "g"), "g").join(side(0, "g"), "g").join(stated, "g").join(of(1, "c"), "c").join(side(1, "c"), "c")
     digits = lambda a: F.filter(a, lambda w: w.rlike("^[0-9]+$"))
     # other offices below NEAR are not looked at, so that gaps end there
     gap = lambda other: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("score") - F.col(other)) / F.col("score") / (1 - NEAR)))
@@ -255,16 +295,15 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
         "c_cost": cost(F.array_except("c_words", "g_words")),
         "sure": F.col("sure") / 100,
     }
-    near = (F.col("score") >= NEAREST * F.col("g_other")) & (F.col("score") >= NEAREST * F.col("c_other")) if mutual else F.lit(True)
-    told = written(told.where(near).withColumns(features).withColumn("foreign", (F.col("g_cost") + F.col("c_cost")) / NEVER), "told")
+    told = written(told.withColumns(features).withColumn("foreign", (F.col("g_cost") + F.col("c_cost")) / NEVER), "told")
     # labels: a class whose rows name a record, and one whose words are those of an official name
     meaning = greenbook.select(F.col("enrichment_id").cast("long").alias("id"), F.lower(F.trim("entity_id")).alias("e")).where("id is not null and e is not null").distinct()
     plain = official.withColumn("office", F.array_join(F.array_sort(F.array_distinct(F.filter("words", lambda w: ~w.isin(*EMPTY)))), " "))
     truth = meaning.join(registry.select(F.col("id").alias("e"), F.col("name").alias("form")), "e").join(plain, "form").join(members.where("side = 0").select("id", F.col("q").alias("g")), "id").groupBy("g").agg(F.min("office").alias("meant"))
-    exact = plain.select(F.col("office").alias("c_office")).distinct()
+    exact = plain.select(F.col("office").alias("said")).distinct()
     columns = ["share", "g_gap", "c_gap", "foreign", "sure"]
-    labelled = told.join(truth, "g").join(exact, "c_office", "left_semi").orderBy(F.xxhash64("g", "c"), "g", "c").limit(LABELLED_PAIRS)
-    got = np.array([list(r) for r in labelled.select(*columns, (F.col("meant") == F.col("c_office")).cast("double")).collect()], float).reshape(-1, len(columns) + 1)
+    labelled = told.withColumn("said", F.array_join("c_words", " ")).join(truth, "g").join(exact, "said", "left_semi").orderBy(F.xxhash64("g", "c"), "g", "c").limit(LABELLED_PAIRS)
+    got = np.array([list(r) for r in labelled.select(*columns, (F.col("meant") == F.col("said")).cast("double")).collect()], float).reshape(-1, len(columns) + 1)
     w = fit_logistic(got[:, :-1], got[:, -1]) if calibrated else PRIOR
     z = F.lit(float(w[0]))
     for k, c in enumerate(columns):
@@ -272,7 +311,7 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     sure = told.withColumn("confidence", 1 / (1 + F.exp(-z))).where(F.col("confidence") >= LEAST_CONFIDENCE)
     numbers = (F.size(digits("g_words")) == 0) | (F.size(digits("c_words")) == 0) | (F.size(F.array_intersect(digits("g_words"), digits("c_words"))) > 0)
     foreign = (F.col("g_cost") < FOREIGN).cast("int") + (F.col("c_cost") < FOREIGN).cast("int")
-    reach = F.exists(F.array_intersect("g_terms", "c_terms"), lambda t: F.substring(t, 1, 2).isin("h|", "p|", "a|"))
+    reach = F.exists(F.array_intersect("g_terms", "c_terms"), _is_contact)
     agreed = sure.where(numbers & ((foreign == 0) | ((foreign == 1) & reach))).select("g", "c", "confidence")
     row = lambda k, p, name: members.where(f"side = {k}").select(F.col("q").alias(p), F.col("id").alias(name))
     return agreed.join(row(0, "g", "enrichment_id"), "g").join(row(1, "c", "contact_id"), "c").select("enrichment_id", "contact_id", "confidence")

@@ -73,7 +73,7 @@ def test_pruning_is_exact(spark):
     bags = {(side, i): {f"t{t}" for t in rng.zipf(1.5, 6) % 60} for side, n in ((0, 80), (1, 120)) for i in range(n)}
     df = {t: sum(t in b for b in bags.values()) for b in bags.values() for t in b}
     gain = {k: {t: float(np.sqrt(np.log(1 + 200 / df[t]) / len(b) ** 0.3)) for t in b} for k, b in bags.items()}
-    postings = spark.createDataFrame([(side, i, t, v) for (side, i), b in gain.items() for t, v in b.items()], "side int, q long, term string, gain double")
+    postings = spark.createDataFrame([(side, i, int(t[1:]), v) for (side, i), b in gain.items() for t, v in b.items()], "side int, q long, term long, gain double")
     pairs = crossmatch._candidates(postings)
     got = {(r.g, r.c): r.score for r in crossmatch.scores(pairs, postings).collect()}
     score = lambda a, b: sum(v * gain[b].get(t, 0.0) for t, v in gain[a].items())
@@ -82,8 +82,8 @@ def test_pruning_is_exact(spark):
         for b, v in s.items():
             key = (a[1], b[1]) if a[0] == 0 else (b[1], a[1])
             if key in got:
-                assert abs(got[key] - v) < 1e-9
-            assert key in got or v < crossmatch.NEAR * max(s.values()) + 1e-9
+                assert abs(got[key] - v) < 1e-5
+            assert key in got or v < crossmatch.NEAR * max(s.values()) + 1e-5
 
 
 def test_logistic():
