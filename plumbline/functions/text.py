@@ -177,10 +177,14 @@ def count_tokens(c: Column) -> Column:
     return F.size(F.regexp_extract_all(c, F.lit(r"(?U)\w+"), 0))
 
 
+# Phrases of a challenge page.
+CHALLENGE = ("Access Denied", "Just a moment", "Attention Required", "verify you are human", "Checking your browser")
+
+
 def is_challenge(title: Column, text: Column) -> Column:
-    """SCL-23: the phrases of a challenge page in a title or text."""
-    both = F.concat_ws(" ", title, text)
-    return both.rlike(r"(?i)just a moment|verify(?:ing)? (?:that )?you are (?:a )?human|checking your browser|attention required|access denied|are you a robot|security check")
+    """SCL-23: the phrases of a challenge page in a title or in the first 2,000 characters of a text (the rule's own)."""
+    both = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(F.substring(text, 1, 2000), F.lit("")))
+    return both.rlike("(?i)" + "|".join(CHALLENGE))
 
 
 def strip(c: Column) -> Column:

@@ -2,8 +2,8 @@
 
 Rake and contract. Leaves are set aside; the rest is spread so that a node and its parent often meet in one task, where
 parent chains are followed to the last node that the task knows (the fragment's exit). Only nodes that are an exit of
-some fragment go on to the next, smaller, quotient forest, which is solved in the same way until it fits into one task.
-Results are then handed back down, level by level. Rings that lie in one task show there, others in a later quotient.
+some fragment go on to the next, smaller, quotient forest, which is solved in the same way until it fits into one task;
+every forest is contracted once at least. Results are then handed back down, level by level. Rings that lie in one task show there, others in a later quotient.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from plumbline.session import written
 
-#: Nodes that one task solves at the end of the recursion, and about as many as a task contracts.
-BASE_NODES = 100_000
+#: Nodes that one task solves at the end of the recursion, and that one contracts at most.
+BASE_NODES, TASK_NODES = 4_096, 65_536
 #: Children of one parent that may be drawn to the parent's task.
 NEAR_CHILDREN = 10_000
 
@@ -112,16 +112,17 @@ def resolve_hierarchy(tree: DataFrame, with_path: bool = True, base_nodes: int =
 
     A root is its own root with depth 0. A node on a ring, or below one, has root '', depth -1 and an empty path. With
     ``with_path=False`` paths are empty arrays and cost nothing. An empty tree gives no rows. Chains of any depth and
-    parents with any number of children are solved; no step gathers more than about ``base_nodes`` nodes in a task.
+    parents with any number of children are solved; the last quotient has at most ``base_nodes`` nodes.
     """
     level = written(tree.select("id", "parent", F.lit(1).alias("steps"), F.array("id").alias("way")), "tree")
     handed: list[DataFrame] = []
     n, seed = level.count(), 0
-    while n > base_nodes:
+    wide = int(tree.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while n > base_nodes or (n and not handed):
         fan = level.where("parent is not null").groupBy("parent").agg(F.count("*").alias("fan"))
         inner = level.join(fan.select(F.col("parent").alias("id")), "id", "left_semi")
         leaves = level.join(fan.select(F.col("parent").alias("id")), "id", "left_anti")
-        tasks = max(2, -(-n // base_nodes))
+        tasks = max(2, wide, -(-n // TASK_NODES))
         spread = inner.join(fan, "parent", "left").withColumn("task", F.pmod(F.xxhash64(_draw(seed)), F.lit(tasks)))
         chains = written(spread.select("id", "parent", "steps", "way", "task").groupBy("task").applyInPandas(_contract(with_path), _CHAIN), "chains")
         exits = chains.where("not ring").select(F.col("exit").alias("id")).distinct()

@@ -120,11 +120,12 @@ def find_orphans(refs: DataFrame, parents: DataFrame, chunk_rows: int = CHUNK_RO
         day = rows["day"].to_numpy()
         n = len(day)
         alive, any_past, found = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
+        asked = _as_bytes(rows["key"].to_pylist())
         for block in range(parent.num_rows if n else 0):
+            sought = asked
             keys = _as_bytes(parent["keys"][block].values.to_pylist())
             added = parent["added"][block].values.to_numpy()
             removed = parent["removed"][block].values.to_numpy()
-            sought = _as_bytes(rows["key"].to_pylist())
             if keys.dtype != sought.dtype and object in (keys.dtype, sought.dtype):
                 keys, sought = keys.astype(object), sought.astype(object)
             at, end = np.searchsorted(keys, sought, side="left"), np.searchsorted(keys, sought, side="right")

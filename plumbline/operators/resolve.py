@@ -282,10 +282,11 @@ def apply_checks(decided: DataFrame, checks: DataFrame) -> DataFrame:
     return j.select("unit_id", F.coalesce("checked", "host").alias("host"), F.when(F.col("checked").isNotNull(), "checked").otherwise(F.col("outcome")).alias("outcome"), F.coalesce((F.col("outcome") == "primary") & (F.col("checked") != F.col("host")), F.lit(False)).alias("conflict"))
 
 
-def title_places(titles: DataFrame, places: DataFrame, longest: int = 5) -> DataFrame:
+def title_places(titles: DataFrame, places: DataFrame) -> DataFrame:
     """JOIN-19: page_id, place of every place that a title names as whole words and not inside a longer place that it
-    names too. A theta join (the title holds the place) run as an equi-join: the title's phrases of up to ``longest``
-    words meet the places by key."""
+    names too. A theta join (the title holds the place) run as an equi-join: the title's phrases, as long
+    as the longest place, meet the places by key."""
+    longest = places.agg(F.coalesce(F.max(F.size(F.split("place", " "))), F.lit(1))).first()[0]
     words = F.split(text.norm_title(F.col("title")), " ")
     t = titles.select("page_id", words.alias("w")).select("page_id", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
     t = t.select("page_id", "i", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - F.col("i") + 1)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("w", F.col("i"), n), " ").alias("place")))).alias("p")).select("page_id", "i", "p.n", "p.place")

@@ -340,7 +340,7 @@ select host, step, kind, identity, case when kind = 'http' then 'http://' else '
     "truncate_flag": f"select doc_id, sha256(case when length(t) > 800 then regexp_replace(left(t, 800), '{_WS}+$', '') else t end) as sha, cast(length(t) > 800 as int) as truncated from (select doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '^{_WS}+', ''), '{_WS}+$', '') as t from documents)",
     "word_counts": "select doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_]*[A-Za-z][A-Za-z0-9_]*')) as words from documents where text is not null",
     "llms_shape": "with l as (select doc_id, list_filter(string_split(coalesce(replace(text, chr(13), ''), ''), chr(10)), lambda x: trim(x) <> '') as l from documents) select doc_id, cast(coalesce(starts_with(l[1], '# '), false) as int) as h1, cast(coalesce(starts_with(l[1], '# ') and starts_with(l[2], '> '), false) as int) as quote from l",
-    "block_page_class": "with b as (select desc_id, description, lower(left(description, 6000)) as low from descriptions where description is not null), c as (select *, " + "case " + " ".join(f"when regexp_matches(low, '{rx}') then '{n}'" for rx, n in verdicts.BLOCK_PATTERNS) + " end as name from b) select desc_id, coalesce(name, case when length(trim(description)) < 200 then 'near_empty' else 'content' end) as body_class, cast(name is not null as int) as blocked from c",
+    "block_page_class": "with b as (select desc_id, description, lower(left(description, 6000)) as low from descriptions where description is not null), c as (select *, " + "case " + "when contains(low, 'access denied') then 'access_denied' when regexp_matches(low, 'you don''?t have permission to access') then 'akamai_denied' when regexp_matches(low, 'reference\\s*#[0-9]+[.]') then 'akamai_reference' when contains(low, 'errors.edgesuite.net') then 'akamai_edgesuite' when regexp_matches(low, '(?-s)attention required.*cloudflare') or contains(low, 'cf-browser-verification') or contains(low, 'cf_chl_') then 'cloudflare_challenge' when contains(low, 'incapsula incident id') or contains(low, '_incapsula_resource') or regexp_matches(low, '(?-s)request unsuccessful.*incapsula') then 'imperva_incapsula' when regexp_matches(low, '<title>\\s*just a moment') then 'cloudflare_jschallenge' when contains(low, 'bot detection') or contains(low, 'are you a robot') or contains(low, 'verify you are human') then 'generic_bot_challenge' when contains(low, 'your request has been blocked') then 'generic_blocked'" + " end as name from b) select desc_id, coalesce(name, case when length(trim(description)) < 200 then 'near_empty' else 'content' end) as body_class, cast(name is not null as int) as blocked from c",
     "prose_lines": "with l as (select doc_id, trim(replace(unnest(string_split(text, chr(10))), chr(13), '')) as line from documents where text is not null) select doc_id, count(*) as lines, count(*) filter (length(line) >= 80 or (len(list_filter(regexp_split_to_array(line, '\\s+'), lambda w: w <> '')) >= 12 and regexp_matches(rtrim(line), '[.!?]$'))) as prose from l group by doc_id",
     "robots_decisions": "select * from (values "
     + ", ".join(

@@ -39,12 +39,15 @@ def share_code(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only where that is unset, one of our own (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; only where that is unset, one of our own (tests), which a
+    cluster could not share."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = jdir.get() if jdir.isDefined() else None
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.sparkContext.setCheckpointDir(base)
     return base
