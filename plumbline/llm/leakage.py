@@ -25,13 +25,15 @@ STRETCH = 16
 #: What may differ in such a stretch: a foreign word (an altered word, a misspelling) counts 1, another word of the
 #: items or another number, as sentences of the same pattern have them, counts 2.
 DIFFERENCES = 3
-#: Item words per segment, of which SEEDS rarest terms open alignments. A stretch holds two whole segments, so that
-#: after DIFFERENCES at least MEETING of their seeds still meet.
+#: Item words per segment, of which SEEDS rarest terms open alignments. However the segments lie, sixteen words hold at
+#: least six seeds (three in each whole segment; of five words of one at least two, of four at least one), so that after
+#: DIFFERENCES at least MEETING of them still meet.
 SEGMENT, SEEDS, MEETING = 6, 3, 3
 #: Places that an alignment may slip, where words were split, joined, lost or added.
 SLIP = 2
-#: Words of test items that are sought at once (a block): bounds what is sent to the executors.
-BLOCK_WORDS = 200_000
+#: Words of test items that are sought at once (a block; a piece counts as LEAST_WORDS at least), and of a piece of a
+#: long item: bounds what is sent to the executors and the table of a block's words.
+BLOCK_WORDS, PIECE_WORDS, LEAST_WORDS = 200_000, 256, 64
 #: Characters of a shard; alignments that are read at once.
 SHARD_CHARS, ALIGNMENTS = 4_000_000, 50_000
 
@@ -112,6 +114,14 @@ def _lengths(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["term", "n"])
 
 
+def pieces_of(terms: list[int]) -> list[list[int]]:
+    """A long item as pieces that overlap by twice a stretch, so that each stretch lies whole in one of them; the last
+    piece takes in what would be too short for one of its own."""
+    step = PIECE_WORDS - 2 * STRETCH
+    starts = range(0, max(1, len(terms) - 2 * STRETCH), step)
+    return [terms[a : a + PIECE_WORDS] if a != starts[-1] else terms[a:] for a in starts]
+
+
 class Items:
     """A block of items as term numbers, with the seeds of each."""
 
@@ -152,12 +162,12 @@ def align(positions: np.ndarray, bounds: np.ndarray, size: int, items: Items) ->
             o = np.lexsort((place, group))
             g, p = group[o], place[o]
             meet = np.flatnonzero((g[MEETING - 1 :] == g[: len(g) - MEETING + 1]) & (p[MEETING - 1 :] - p[: len(p) - MEETING + 1] < STRETCH))
-            found += [((item[o[meet + j]] * span + shift[o[meet + j]] + width) << 16) + (place[o[meet]] >> 3) for j in range(MEETING)]
+            found += [((item[o[meet + j]] * span + shift[o[meet + j]] + width) << 8) + (place[o[meet]] >> 3) for j in range(MEETING)]
         cand = np.unique(np.concatenate(found))
         for a in range(0, len(cand), ALIGNMENTS):
             part = cand[a : a + ALIGNMENTS]
-            i, s = np.divmod(part >> 16, span)
-            at, good = _stretches(flat, items, i, s - width, (part & 0xFFFF) << 3)
+            i, s = np.divmod(part >> 8, span)
+            at, good = _stretches(flat, items, i, s - width, (part & 0xFF) << 3)
             out_at.append(at)
             out_item.append(i[good])
     none = np.empty(0, np.int64)
@@ -214,12 +224,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, id: str, text: str, item_id: s
             if w not in vocabulary:
                 vocabulary[w] = len(vocabulary)
             terms.append(vocabulary[w])
-        if words + len(terms) > BLOCK_WORDS and blocks[-1]:
-            blocks.append([])
-            words = 0
-        if terms:
-            blocks[-1].append((r.i, terms))
-            words += len(terms)
+        for piece in pieces_of(terms) if terms else ():
+            size = max(LEAST_WORDS, len(piece))
+            if words + size > BLOCK_WORDS and blocks[-1]:
+                blocks.append([])
+                words = 0
+            blocks[-1].append((r.i, piece))
+            words += size
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     index = "ids array<long>, starts array<long>, bounds array<long>, postings long, size long, packed binary"
     stored = written(texts.mapInArrow(_index(vocabulary), index), "postings")

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from plumbline.llm import leakage
 
 
@@ -68,3 +70,19 @@ def test_recall_against_brute_force(spark):
             want.add((k, i))
         docs.append((k, " ".join(text)))
     assert set(found(spark, docs, items)) >= want
+
+
+def test_long_items(spark):
+    """A stretch anywhere in an item of thousands of words is found; pieces hold every stretch whole."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}x" for i in rng.integers(0, 4000, 3000)]
+    for n in (1, 15, 16, 31, 32, 33, 224, 256, 257, 300, 480, 3000):
+        pieces = leakage.pieces_of(list(range(n)))
+        assert max(map(len, pieces)) <= leakage.PIECE_WORDS and (len(pieces) == 1 or min(map(len, pieces)) >= 2 * leakage.STRETCH)
+        for a in range(max(1, n - 31)):
+            assert any(set(range(a, min(n, a + 32))) <= set(p) for p in pieces)
+    starts = [0, 100, 213, 250, 700, 1500, 2976]
+    docs = spark.createDataFrame([(k, "before this " + " ".join(words[a : a + 24]) + " and after") for k, a in enumerate(starts)] + [(99, " ".join(words[5:15]))], "d long, t string")
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "short item of words")], "i long, x string")
+    got = leakage.find_leaks(docs, items, "d", "t", "i", "x")
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(k, 7) for k in range(len(starts))]
