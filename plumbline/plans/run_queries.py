@@ -96,14 +96,14 @@ def quarantine_after_first(spark, d):
 
 def streaming_quarantine(spark, d):
     """The same by Structured Streaming with state per host, over the log as a stream of files."""
-    src = written(_log(spark, d).select("host", "seq", (F.col("verdict") == "na").alias("pushback")).coalesce(1), "log")
+    src = written(_log(spark, d).select("host", "seq", (F.col("verdict") == "na").alias("pushback")).repartitionByRange("seq"), "log")
     path = src.inputFiles()[0].rsplit("/", 1)[0]
     out = state.run_to_end(state.quarantine_stream(state.read_stream(spark, path, src.schema)))
     return out.select("host", "seq", F.col("quarantined").cast("int").alias("quarantined"))
 
 
 def streaming_streak(spark, d):
-    src = written(_log(spark, d).select("run", "seq", "host", F.col("verdict").isin("blocked", "na", "fail").alias("failed")).coalesce(1), "log")
+    src = written(_log(spark, d).select("run", "seq", "host", F.col("verdict").isin("blocked", "na", "fail").alias("failed")).repartitionByRange("seq"), "log")
     path = src.inputFiles()[0].rsplit("/", 1)[0]
     out = state.run_to_end(state.streak_stream(state.read_stream(spark, path, src.schema), 4, 3))
     return out.select("seq", F.col("streak").cast("bigint").alias("streak"), F.col("hosts").cast("bigint").alias("streak_hosts"), F.col("suspect").cast("int").alias("suspect"))

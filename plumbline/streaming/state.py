@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def read_stream(spark: SparkSession, path: str, schema, max_files: int = 100) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema, max_files: int = 10_000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
