@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import hosts, text, web
-from plumbline.operators import exporting, inventory, records, resolve, runlog, scoring, verdicts
+from plumbline.operators import bases, exporting, inventory, records, resolve, runlog, scoring, verdicts
 from plumbline.session import shared_dir, table
 from plumbline.sources import readers
 
@@ -197,7 +197,50 @@ def governance_import(spark, d):
     return out.select("name", F.coalesce("short_name", _L("-")).alias("short_name"), F.size("other_names").alias("others"), records.identifier_of(F.col("identifiers"), "nyc_goid").alias("goid"), F.get("web_properties", 0)["domain"].alias("domain"), "status")
 
 
-QUERIES = {f.__name__: f for f in (rules_text, rules_hosts, rules_export, source_readers, canonical_registry, matcher_key_counts, role_histogram, listing_pages, description_coverage, crawler_labels, governance_import)}
+def _governed(spark, d):
+    level = F.element_at(F.array(*map(_L, ("city", "town", "village", "county"))), (F.length("id") % 4 + 1).cast("int"))
+    return table(spark, d, "registry").select("id", level.alias("level"), "name", F.substring(F.md5("id"), 1, 3).alias("code"))
+
+
+def places_report(spark, d):
+    """The registry as minted places against codes and names of which some are missing and some are doubled."""
+    p = _governed(spark, d)
+    spine = p.where("code < 'e'").select("code").distinct().unionByName(spark.createDataFrame([("zzz",)], "code string"))
+    return bases.places_report(p, spine, p.where("code > '3'").select("level", "name", "code"), p.where("code < '8'").select("level", "name"))
+
+
+def worker_states(spark, d):
+    """Days of the log as runs, users as workers; a worker crashes whose value is high."""
+    e = table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("run"), F.concat(_L("w"), F.col("user_id") % 3).alias("worker"), F.when(F.col("event_id") % 997 == 0, _L("boom")).alias("error"))
+    return bases.run_states(e).select("run", "state", F.coalesce("error", _L("-")).alias("error"))
+
+
+def known_host_keys(spark, d):
+    return bases.known_hosts(table(spark, d, "registry").select(F.explode("web_properties").alias("w")).select("w.domain"), "domain")
+
+
+def decision_records(spark, d):
+    """The registry's names, half of them altered, decided by the exact matcher over the registry."""
+    reg = table(spark, d, "registry")
+    rows = reg.select(F.xxhash64("id").alias("row_id"), F.when(F.length("id") % 2 == 0, F.upper("name")).otherwise(F.concat("name", _L(" X"))).alias("name"), _null().alias("acronym"))
+    out = bases.decisions(rows, records.matcher_keys(reg.where("name is not null").withColumns({"short_name": _null(), "other_names": _L(None).cast("array<struct<name:string,note:string>>")})), reg, "nyc")
+    return out.groupBy("decision", "reason", "confidence_tier").agg(F.count("*").alias("n"))
+
+
+def base_before_batch(spark, d):
+    """The registry's first two thirds as seed, the rest as two batches: the base that the second finds."""
+    reg = table(spark, d, "registry").where("name is not null")
+    none = F.array().cast("array<struct<scheme:string,identifier:string>>")
+    pairs = F.transform(F.coalesce("identifiers", F.array().cast("array<struct<scheme:string,identifier:string>>")), lambda p: F.struct(p["scheme"].alias("scheme"), p["identifier"].alias("identifier")))
+    part = F.pmod(F.length("id"), _L(3))
+    seed = reg.where(part == 0).select("id", F.pmod(F.xxhash64("id"), _L(1_000_000_000)).alias("ord"), "name", none.alias("pairs"))
+    batch = lambda k: reg.where(part == k).select(F.col("id").alias("rec_id"), F.pmod(F.xxhash64("id"), _L(1_000_000_000)).alias("seq"), F.concat("name", _L(" "), "id").alias("name"), none.alias("pairs"), _null().alias("match_entity_id"), F.concat(_L("m-"), "id").alias("mint_id"), _L(True).alias("expect_new"))
+    base = bases.base_registry(seed, {"first": batch(1), "second": batch(2)}, "first", without="second")
+    return base.select("id", "name")
+
+
+QUERIES = {f.__name__: f for f in (rules_text, rules_hosts, rules_export, source_readers, canonical_registry, matcher_key_counts, role_histogram, listing_pages, description_coverage, crawler_labels, governance_import, places_report, worker_states, known_host_keys, decision_records, base_before_batch)}
+_GOVERNED = "(select id, (['city','town','village','county'])[length(id) % 4 + 1] as level, name, substr(md5(id), 1, 3) as code from registry)"
 _NORM = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
 ORACLE = {
     "rules_text": _stated(_TEXT), "rules_hosts": _stated(_HOSTS), "rules_export": _stated(_EXPORT),
@@ -210,4 +253,17 @@ ORACLE = {
     "crawler_labels": "select * from (values ('GPTBot', 'gptbot', 'Mozilla GPTBot/1.0', 1, '-'), ('(none)', 'none', '-', 0, 'no name'), ('Ant', 'ant', '-', 0, 'rules only')) v(name, key, label, sent, reason)",
     "governance_import": """select trim(name) as name, coalesce(nullif(trim(short_name), ''), '-') as short_name, cast((case when nullif(trim(short_name), '') is not null then 1 else 0 end) + coalesce(len(list_filter(flatten(list_transform(other_names, lambda o: string_split(coalesce(o.name, ''), ';'))), lambda n: trim(n) <> '')), 0) as int) as others,
 id as goid, 'www.' || id || '.example' as domain, 'active' as status from registry where length(id) % 3 <> 0""",
+    "worker_states": "with w as (select strftime(ts, '%Y-%m-%d') as run, 'w' || (user_id % 3) as worker, case when event_id % 997 = 0 then 'boom' end as error from events) select run, case when count(error) > 0 then 'broke' else 'done' end as state, coalesce('worker crashed: ' || string_agg(distinct worker || ': ' || error, '; ' order by worker || ': ' || error) filter (error is not null), '-') as error from w group by run",
+    "known_host_keys": "select distinct regexp_replace(regexp_replace(regexp_replace(lower(trim(w.domain)), '^[a-z]+://', ''), '[/?#:].*$', ''), '^www[.]', '') as host_key from (select unnest(web_properties) as w from registry) where trim(w.domain) <> ''",
+    "decision_records": f"""with k as (select {_NORM.format('name')} as key, government_level as level, id, row_number() over (partition by {_NORM.format('name')} order by id) as r from registry where name is not null), a as (select {_NORM.format("case when length(id) % 2 = 0 then upper(name) else name || ' X' end")} as key from registry),
+j as (select a.key, k.id, k.level from a left join k on a.key = k.key and k.r = 1 and a.key <> '') select case when id is null then 'unmatched' when level <> 'nyc' then 'review' else 'attach' end as decision, case when id is null then 'no_match' when level <> 'nyc' then 'cross_government_level' else 'exact' end as reason, case when id is null then 'none' else 'exact' end as confidence_tier, count(*) as n from j group by all""",
+    "base_before_batch": "select id, name from registry where name is not null and length(id) % 3 = 0 union all select 'm-' || id, name || ' ' || id from registry where name is not null and length(id) % 3 = 1",
+    "places_report": f"""with p as {_GOVERNED}, spine as (select distinct code from p where code < 'e' union all select 'zzz'), twice as (select code from p group by code having count(*) > 1),
+k as (select level, code, trim(regexp_replace(lower(name), '[^a-z0-9]+', '', 'g')) as nk from p)
+select 'places' as "check", level, 'places' as what, count(*) as n from p group by level
+union all select 'spine', 'all', 'code unknown', count(*) from p where code not in (select code from spine)
+union all select 'spine', 'all', 'not minted', count(*) from spine where code not in (select code from p)
+union all select 'spine', 'all', 'minted twice', count(*) from twice having count(*) > 0
+union all select 'codes', level, 'matched', count(*) from p where code > '3' group by level
+union all select 'names', level, 'matched', count(*) from p where code < '8' group by level""",
 }
