@@ -110,7 +110,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, chunk_rows: int = CHUNK_RO
     known = known.where("key is not null and day is not null and row_id is not null")
     known = known.withColumn("range_id", range_of("namespace", "key"))
     counts = known.groupBy("namespace", "range_id").agg(F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("chunks"))
-    counts = written(counts, "range_counts")  # a row per block
+    counts = F.broadcast(written(counts, "range_counts"))  # a row per block of BLOCK_ROWS parents, as the bounds here
     chunk = F.pmod(F.xxhash64("ref_table", "ref_field", "row_id"), F.col("chunks")).cast("int")
     left = known.join(counts, ["namespace", "range_id"]).withColumn("chunk", chunk).drop("chunks")
     numbered = blocks.withColumn("range_id", range_of("namespace", "lo"))

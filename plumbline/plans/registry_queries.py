@@ -280,7 +280,7 @@ def recovery_merge_lattice(spark, d):
 
 def override_repoint(spark, d):
     dec = _greenbook(spark, d).where("entity_id is not null").select("enrichment_id", "entity_id", F.col("matched_from.match_type").alias("decision"), F.concat(_L("Q"), F.col("enrichment_id") % 10).alias("code"))
-    rep = table(spark, d, "registry").where("length(id) % 4 = 0").select(F.col("id").alias("entity_id"), _L("Q3").alias("reject"), F.concat(_L("Q-"), "id").alias("target"), _L(1).alias("seq"))
+    rep = table(spark, d, "registry").select(F.col("id").alias("entity_id"), _L("Q3").alias("reject"), F.concat(_L("Q-"), "id").alias("target"), _L(1).alias("seq"))
     return resolve.override(dec, rep).select("enrichment_id", "entity_id", "decision", "code")
 
 
@@ -290,14 +290,14 @@ def subset_drift(spark, d):
 
 
 def append_if_absent(spark, d):
-    a = table(spark, d, "registry").where("length(id) % 2 = 0").select("id", "name")
+    a = table(spark, d, "registry").select("id", "name")
     b = _greenbook(spark, d).where("entity_id is not null").groupBy(F.col("entity_id").alias("id")).agg(F.min("matched_from.agency_name").alias("name"))
     return resolve.append_if_absent(a, b, "id")
 
 
 def url_then_host_lookup(spark, d):
     rows = _urls(spark, d).withColumn("host", hosts.url_host(F.col("url")))
-    recs = table(spark, d, "state_listing").where("entry_no % 3 = 0 and url is not null").groupBy("url").agg(F.min("entry_no").alias("entry_no")).select("url", hosts.url_host(F.col("url")).alias("host"), F.col("entry_no").cast("string").alias("value"), F.col("entry_no").alias("seq"))
+    recs = table(spark, d, "state_listing").where("url is not null").groupBy("url").agg(F.min("entry_no").alias("entry_no")).select("url", hosts.url_host(F.col("url")).alias("host"), F.col("entry_no").cast("string").alias("value"), F.col("entry_no").alias("seq"))
     return resolve.url_then_host(rows, recs).select("url", "value")
 
 
@@ -454,10 +454,13 @@ from un left join a using (u) left join cl on cl.host = a.host""",
     "recovery_merge_lattice": """with a as (select entity_id as id, arg_max(status, desc_id) as o from descriptions where entity_id is not null and desc_id % 2 = 0 group by 1), b as (select entity_id as id, arg_max(status, desc_id) as n from descriptions where entity_id is not null and desc_id % 2 = 1 group by 1),
 j as (select coalesce(a.id, b.id) as id, o, n, case when n is null then 'kept' when o is null then 'filled' when n = 'ok' and o in ('fetch_failed', 'no_about_found', 'extraction_empty') then 'replaced' when n <> 'ok' and o = 'fetch_failed' then 'reclassified' else 'protected' end as action from a full join b on a.id = b.id)
 select id, case when action in ('kept', 'protected') then o else n end as status, action from j""",
-    "override_repoint": f"select enrichment_id, entity_id, case when hit then 'repointed' else matched_from.match_type end as decision, case when hit then 'Q-' || entity_id else 'Q' || (enrichment_id % 10) end as code from (select *, enrichment_id % 10 = 3 and entity_id in (select id from registry where length(id) % 4 = 0) as hit from {_GB} where entity_id is not null)",
+    "mint_ids": """with r as (select contact_id, coalesce(nullif(trim(regexp_replace(lower(min(agency)), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'entity') as s from agency_contacts where agency is not null group by contact_id), k as (select *, row_number() over (partition by s order by contact_id) as k from r),
+m as (select s, max(k) + (select count(*) from registry where id = s or starts_with(id, s || '-')) as m from k group by s), g as (select s, unnest(range(1, m + 1)) as g from m),
+free as (select s, g, row_number() over (partition by s order by g) as k from g where case when g = 1 then s else s || '-' || g end not in (select id from registry)) select contact_id, case when g = 1 then s else s || '-' || g end as minted from k join free using (s, k)""",
+    "override_repoint": f"select enrichment_id, entity_id, case when hit then 'repointed' else matched_from.match_type end as decision, case when hit then 'Q-' || entity_id else 'Q' || (enrichment_id % 10) end as code from (select *, enrichment_id % 10 = 3 and entity_id in (select id from registry) as hit from {_GB} where entity_id is not null)",
     "subset_drift": f"select distinct entity_id as id, 'left_only' as side from {_GB} where entity_id is not null and entity_id not in (select id from registry) union all select id, 'right_only' from registry where id not in (select entity_id from {_GB} where entity_id is not null)",
-    "append_if_absent": f"select id, name from registry where length(id) % 2 = 0 union all select entity_id, min(matched_from.agency_name) from {_GB} where entity_id is not null and entity_id not in (select id from registry where length(id) % 2 = 0) group by entity_id",
-    "url_then_host_lookup": f"""with r as (select url, min(entry_no) as e from state_listing where entry_no % 3 = 0 and url is not null group by url), h as (select {_HOST} as host, min(e) as e from r group by 1)
+    "append_if_absent": f"select id, name from registry union all select entity_id, min(matched_from.agency_name) from {_GB} where entity_id is not null and entity_id not in (select id from registry) group by entity_id",
+    "url_then_host_lookup": f"""with r as (select url, min(entry_no) as e from state_listing where url is not null group by url), h as (select {_HOST} as host, min(e) as e from r group by 1)
 select u.url, cast(coalesce(r.e, h.e) as varchar) as value from (select url, {_HOST} as host from {_URLS}) u left join r using (url) left join h on h.host = u.host""",
     "start_urls": """with k as (select id, i.identifier as key, pos from (select id, unnest(identifiers) as i, unnest(range(1, len(identifiers) + 1)) as pos from registry)), l as (select key, min('https://listed.example/' || id) as url from k where length(key) = 7 group by key),
 f as (select id, arg_min(url, pos) as listed from k join l using (key) group by id), r as (select id, list_filter(web_properties, lambda w: w.role = 'primary')[1].domain as p, web_properties[1].domain as a from registry)

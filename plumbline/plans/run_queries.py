@@ -36,8 +36,8 @@ def result_last_wins(spark, d):
 
 
 def ai_aggregate(spark, d):
-    rows = _results(spark, d).where("test = 'W1'").withColumn("identity_class", F.when(F.col("identity") == "gptbot", "ai_training").when(F.col("identity") == "all_ai", "ai_search").otherwise("control"))
-    return verdicts.all_ai(rows, ["host"]).select("host", "verdict", F.array_join("admitted", ",").alias("admitted"))
+    rows = _results(spark, d).withColumn("identity_class", F.when(F.col("identity") == "gptbot", "ai_training").when(F.col("identity") == "all_ai", "ai_search").otherwise("control"))
+    return verdicts.all_ai(rows, ["host", "test"]).select("host", "test", "verdict", F.array_join("admitted", ",").alias("admitted"))
 
 
 def verdict_counts(spark, d):
@@ -305,9 +305,9 @@ _QUAR = f"with f as (select host, min(seq) filter (verdict = 'na') as m from {_R
 ORACLE = {
     "result_first_wins": f"select * from {_FIRST}",
     "result_last_wins": f"select host, test, identity, arg_max(verdict, seq) as verdict, max(seq) as seq from {_RES} group by all",
-    "ai_aggregate": f"""with a as (select host, count(*) filter (identity <> 'research') as n, count(*) filter (identity <> 'research' and verdict = 'pass') as ok, count(*) filter (identity <> 'research' and verdict = 'blocked') as bl, count(*) filter (identity <> 'research' and verdict = 'na') as na,
-coalesce(string_agg(distinct identity, ',' order by identity) filter (identity <> 'research' and verdict = 'pass'), '') as admitted from {_RES} where test = 'W1' group by host)
-select host, case when n = 0 then 'na' when ok = n then 'pass' when ok > 0 then 'partial' when bl > 0 then 'blocked' when na = n then 'na' else 'fail' end as verdict, admitted from a""",
+    "ai_aggregate": f"""with a as (select host, test, count(*) filter (identity <> 'research') as n, count(*) filter (identity <> 'research' and verdict = 'pass') as ok, count(*) filter (identity <> 'research' and verdict = 'blocked') as bl, count(*) filter (identity <> 'research' and verdict = 'na') as na,
+coalesce(string_agg(distinct identity, ',' order by identity) filter (identity <> 'research' and verdict = 'pass'), '') as admitted from {_RES} group by host, test)
+select host, test, case when n = 0 then 'na' when ok = n then 'pass' when ok > 0 then 'partial' when bl > 0 then 'blocked' when na = n then 'na' else 'fail' end as verdict, admitted from a""",
     "verdict_counts": f"select coalesce(test, 'all') as test, cast(grouping(test) as int) as is_total, count(*) filter (verdict = 'pass') as n_pass, count(*) filter (verdict = 'partial') as partial, count(*) filter (verdict = 'fail') as fail, count(*) filter (verdict = 'blocked') as blocked, count(*) filter (verdict = 'na') as na, count(*) filter (verdict = 'reported') as reported from {_RES} group by rollup (test)",
     "host_scores": f"select host, f1f3, cast(score as double) as score, cast(measured_rows as bigint) as measured_rows, cast(blocked_rows as bigint) as blocked_rows, cast(na_rows as bigint) as na_rows from {_SCORES}",
     "score_summary": f"select count(*) as hosts, round_even(avg(score), 2) as mean, cast(median(score) as double) as median, cast(min(score) as double) as least, cast(max(score) as double) as most from {_SCORES}",
