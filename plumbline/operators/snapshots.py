@@ -2,7 +2,8 @@
 
 Each snapshot is summarised per hash bucket by a small table of cells (count and xors of key, value hash and check
 hash). The tables of two consecutive snapshots are subtracted, so that everything equal cancels, and the pairs that
-differ are peeled out. What crosses the network is a few cells per bucket and no rows. Buckets that can't be peeled, or
+differ are peeled out. What the comparison sends over the network is a few cells per bucket; only the choice of the row loaded last
+moves rows, once. Buckets that can't be peeled, or
 whose digest disagrees, are built again with more cells, from their own rows only.
 """
 
