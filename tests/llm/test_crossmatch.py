@@ -53,17 +53,15 @@ def test_hot_organisation(spark):
     assert run(spark, g, c, reg) == want
 
 
-def test_parts_decide(spark, data):
-    """Without the mutual test or the calibration other pairs come out; with all parts rows with one host meet."""
+def test_rows_of_one_host_meet(spark, data):
+    """Rows of both sources with one host are nearly always of one office."""
     big = data.replace("sf0.001", "sf0.01")
     g = table(spark, big, "greenbook_enrichment").withColumns({"agency_name": F.col("matched_from.agency_name"), "confidence_score": F.col("matched_from.confidence_score")})
-    pairs = lambda **off: {(r.enrichment_id, r.contact_id) for r in crossmatch.match_offices(g, table(spark, big, "agency_contacts"), table(spark, big, "registry"), **off).collect()}
-    whole = pairs()
+    whole = {(r.enrichment_id, r.contact_id) for r in crossmatch.match_offices(g, table(spark, big, "agency_contacts"), table(spark, big, "registry")).collect()}
     hosts = g.select("enrichment_id", F.explode(F.transform("web_candidates", crossmatch.host_of)).alias("h"))
     same = hosts.join(table(spark, big, "agency_contacts").select("contact_id", crossmatch.host_of(F.col("agency_contact_url")).alias("h")), "h")
     same = {(r.enrichment_id, r.contact_id) for r in same.collect()}
     assert len(same & whole) >= 0.9 * len(same)
-    assert any(pairs(**off) != whole for off in ({"mutual": False}, {"calibrated": False}))
 
 
 def test_weights_decide(spark):
