@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import text
-from plumbline.operators import exporting, scoring, verdicts
+from plumbline.operators import exporting, verdicts
 from plumbline.session import table, written
 
 _WORDS = " ".join(["The office keeps records and answers residents of the area every working day."] * 16)
@@ -145,6 +145,6 @@ ORACLE = {
         _case('https_redirect', ['true', 'false', 'false', 'false', 'false', 'false']), _case('rest_index', ['true', 'false', '-', '-', 'false', 'false']), _case('api_catalog', ['true', 'false', '-', '-', 'false', 'false']), _case('datasets', ['2', '-', '-', '-', '-', '-']), _case('newest_year', ['2026', '-', '-', '-', '2019', '-']),
         _case('third_party_scripts', ['1', '0', '-', '-', '0', '-']), _case('divergent', ['[]', '[]', '-', '-', '[]', '[]']), _case('has_main', ['true', 'false', '-', '-', 'false', '-']),
     ))} from {_HOSTS}""",
-    "capture_scores": f"select host, {_case('score', [11.5, 1.0, 0.0, 0.0, 3.0, 0.0])}, {_case('measured_rows', [12, 11, 0, 0, 12, 12])}, {_case('blocked_rows', [0, 0, 12, 0, 0, 0])} from {_HOSTS}",
+    "capture_scores": f"select host, cast(score as double) as score, {_case('measured_rows', [12, 11, 0, 0, 12, 12])}, {_case('blocked_rows', [0, 0, 12, 0, 0, 0])} from (select *, {_case('score', [11.5, 1.0, 0.0, 0.0, 3.0, 0.0])} from {_HOSTS})",
     "waf_and_blocks": "select * from (values (0, 'access_denied', 1, '', 1), (1, 'akamai_denied', 1, 'akamai', 0), (2, 'akamai_reference', 1, 'cloudflare', 0), (3, 'akamai_edgesuite', 1, 'imperva', 0), (4, 'cloudflare_challenge', 1, 'aws_cloudfront', 1), (5, 'cloudflare_challenge', 1, 'fastly', 0), (6, 'imperva_incapsula', 1, 'akamai_botmanager', 0), (7, 'imperva_incapsula', 1, 'cloudflare', 0), (8, 'cloudflare_jschallenge', 1, 'imperva_incapsula', 1), (9, 'generic_bot_challenge', 1, 'akamai', 0), (10, 'generic_blocked', 1, 'akamai_botmanager,cloudflare,fastly', 0), (11, 'near_empty', 0, '', 1), (12, 'content', 0, '', 0), (13, 'content', 0, '', 0), (14, 'near_empty', 0, '', 0)) v(id, body_class, blocked, waf, challenge)",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import hosts, text, web
-from plumbline.operators import bases, exporting, inventory, records, resolve, runlog, scoring, verdicts
+from plumbline.operators import bases, exporting, records, runlog, scoring, verdicts
 from plumbline.session import shared_dir, table
 from plumbline.sources import readers
 
