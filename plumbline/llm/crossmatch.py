@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import lexicon, names
 from plumbline.llm.lexicon import EMPTY, NEVER, Channel
-from plumbline.session import written
+from plumbline.session import shuffled, written
 
 K1, B = 1.2, 0.5
 #: Share of a class's best score down to which candidates are looked at, and at which an office still is a nearest one.
@@ -87,18 +87,18 @@ def meant_words(texts: DataFrame, official: DataFrame) -> DataFrame:
     the text, a word that is there already first."""
     common = lexicon.learn_common(official)
     read = lexicon.name_words(texts, "text", "text")
-    uses = texts.groupBy("text").agg(F.sum("n").alias("n")).join(read, "text").select("n", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.sum("n").alias("n"))
+    uses = texts.groupBy("text").agg(F.sum("n").alias("n")).join(shuffled(read), "text").select("n", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.sum("n").alias("n"))
     named = official.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("named"))
     plain = (~F.col("w").rlike("^[0-9]+$")) & ~F.col("w").isin(*EMPTY)
-    vocabulary = written(uses.join(named, "w", "full").select("w", (F.coalesce("n", F.lit(0)) + F.coalesce("named", F.lit(0))).alias("n"), F.col("named").isNotNull().alias("known")).where(plain), "vocabulary")
+    vocabulary = written(uses.join(shuffled(named), "w", "full").select("w", (F.coalesce("n", F.lit(0)) + F.coalesce("named", F.lit(0))).alias("n"), F.col("named").isNotNull().alias("known")).where(plain), "vocabulary")
     typed = vocabulary.where("not known")
     near = lexicon.rare_words(typed.select("w"), vocabulary.where(f"known or n >= {OWN_WORD}").select("w")).where("typed <> word")
     weight = F.struct((F.col("cost") + F.log("n")).alias("weight"), F.col("word"))
-    best = near.join(vocabulary.select(F.col("w").alias("word"), "n"), "word").groupBy(F.col("typed").alias("w")).agg(F.max(weight).alias("b"))
-    likely = best.join(typed, "w").select("w", "b.word", (F.col("b.weight") - F.log("n") - NEW_WORD).alias("margin"))
+    best = near.join(shuffled(vocabulary.select(F.col("w").alias("word"), "n")), "word").groupBy(F.col("typed").alias("w")).agg(F.max(weight).alias("b"))
+    likely = best.join(shuffled(typed), "w").select("w", "b.word", (F.col("b.weight") - F.log("n") - NEW_WORD).alias("margin"))
     each = read.select("text", F.explode(F.array_distinct("words")).alias("w"))
-    unsure = each.join(written(likely, "likely"), "w").groupBy("text").agg(F.map_from_entries(F.collect_list(F.struct("w", F.struct("word", "margin")))).alias("likely"))
-    known = each.join(vocabulary.where("known").select("w"), "w").groupBy("text").agg(F.collect_list("w").alias("known"))
+    unsure = each.join(shuffled(written(likely, "likely")), "w").groupBy("text").agg(F.map_from_entries(F.collect_list(F.struct("w", F.struct("word", "margin")))).alias("likely"))
+    known = each.join(shuffled(vocabulary.where("known").select("w")), "w").groupBy("text").agg(F.collect_list("w").alias("known"))
 
     def choose(ws, likely, known):
         ws, options = [w for w in ws if w not in EMPTY], []
@@ -130,7 +130,7 @@ def meant_words(texts: DataFrame, official: DataFrame) -> DataFrame:
             each = [choose(list(ws), dict(m) if m is not None else {}, set(k) if k is not None else set()) for ws, m, k in zip(pdf["words"], pdf["likely"], pdf["known"])]
             yield pd.DataFrame({"text": pdf["text"], "means": each})
 
-    return written(read.join(unsure, "text", "left").join(known, "text", "left").mapInPandas(run, "text string, means array<string>"), "meant")
+    return written(read.join(shuffled(unsure), "text", "left").join(shuffled(known), "text", "left").mapInPandas(run, "text string, means array<string>"), "meant")
 
 
 def _classes(rows: DataFrame, official: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -138,24 +138,24 @@ def _classes(rows: DataFrame, official: DataFrame) -> tuple[DataFrame, DataFrame
     the least id of a class. Rows without a name are in none."""
     whole = rows.where("trim(name) <> ''").withColumn("text", F.concat_ws(" ; ", F.array("name"), F.filter("cities", lambda c: F.trim(c) != "")))
     meant = meant_words(whole.groupBy("text").agg(F.count("*").alias("n")), official)
-    said = whole.join(meant, "text")
+    said = whole.join(shuffled(meant), "text")
     words = F.col("means")
     tag = lambda t, a: F.transform(a, lambda x: F.concat(F.lit(t), x))
     terms = F.array_sort(F.concat(tag("w|", words), tag("h|", F.col("hosts")), tag("p|", F.col("phones")), tag("a|", F.col("streets")), tag("z|", F.col("zips"))))
     each = written(said.select("side", "id", "sure", words.alias("words"), terms.alias("terms")), "said")
     least = each.groupBy("side", "terms").agg(F.min("id").alias("q"), F.first("words").alias("words"))
-    members = written(each.join(least.select("side", "terms", "q"), ["side", "terms"]).select("side", "id", "q", "sure"), "members")
+    members = written(each.join(shuffled(least.select("side", "terms", "q")), ["side", "terms"]).select("side", "id", "q", "sure"), "members")
     return members, written(least.select("side", "q", "terms", "words"), "classes")
 
 
 def _bags(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes that say the same to the other side are one bag: side, q, bag (the least q), and the postings of bags
     (their q being the bag). Terms that the other side doesn't have open and add nothing, so they are left out."""
-    shared = written(postings.join(postings.select((1 - F.col("side")).alias("side"), "term").distinct(), ["side", "term"], "left_semi"), "shared")
+    shared = written(postings.join(shuffled(postings.select((1 - F.col("side")).alias("side"), "term").distinct()), ["side", "term"], "left_semi"), "shared")
     said = shared.groupBy("side", "q").agg(F.array_sort(F.collect_list(F.struct("term", "gain"))).alias("terms"))
     least = said.groupBy("side", "terms").agg(F.min("q").alias("bag"))
-    of = written(said.join(least, ["side", "terms"]).select("side", "q", "bag"), "bags")
-    return of, written(shared.join(of.where("q = bag").select("side", "q"), ["side", "q"], "left_semi"), "bag_postings")
+    of = written(said.join(shuffled(least), ["side", "terms"]).select("side", "q", "bag"), "bags")
+    return of, written(shared.join(shuffled(of.where("q = bag").select("side", "q")), ["side", "q"], "left_semi"), "bag_postings")
 
 
 def _opening(classes: DataFrame, weights: DataFrame, bag_of: DataFrame, cost_of) -> DataFrame:
@@ -164,9 +164,9 @@ def _opening(classes: DataFrame, weights: DataFrame, bag_of: DataFrame, cost_of)
     side doesn't know never meets all offices of its kind."""
     telling = F.filter("words", lambda w: cost_of(w) < FOREIGN)
     words = classes.select("side", "q", F.explode(F.transform(telling, lambda w: F.xxhash64(F.concat(F.lit("w|"), w)))).alias("term"))
-    rarest = words.join(weights, "term").groupBy("side", "q").agg(F.min_by("term", F.struct(-F.col("idf"), "term")).alias("term"))
+    rarest = words.join(shuffled(weights), "term").groupBy("side", "q").agg(F.min_by("term", F.struct(-F.col("idf"), "term")).alias("term"))
     contacts = classes.select("side", "q", F.explode(F.transform(F.filter("terms", _is_contact), lambda t: F.xxhash64(t))).alias("term"))
-    return rarest.unionByName(contacts).join(bag_of, ["side", "q"]).select("side", F.col("bag").alias("q"), "term").distinct()
+    return rarest.unionByName(contacts).join(shuffled(bag_of), ["side", "q"]).select("side", F.col("bag").alias("q"), "term").distinct()
 
 
 def _is_contact(t: Column) -> Column:
@@ -181,19 +181,19 @@ def _candidates(postings: DataFrame, opening: DataFrame | None = None) -> DataFr
     top = postings.groupBy(other, "term").agg(F.max("gain").alias("best_gain"), F.count("*").alias("rows"), F.min_by("q", F.struct(-F.col("gain"), "q")).alias("d"))
     # a candidate's score is at most what all terms up to the last one that opens it can add; others than opening ones first
     up = Window.partitionBy("side", "q").orderBy("opens", "most", "term").rowsBetween(Window.unboundedPreceding, 0)  # the terms of a bag
-    asks = postings.join(top, ["side", "term"]).withColumn("most", F.col("gain") * F.col("best_gain"))
-    asks = asks.withColumn("opens", F.lit(True)) if opening is None else asks.join(opening.withColumn("opens", F.lit(True)), ["side", "q", "term"], "left").na.fill(False, ["opens"])
+    asks = postings.join(shuffled(top), ["side", "term"]).withColumn("most", F.col("gain") * F.col("best_gain"))
+    asks = asks.withColumn("opens", F.lit(True)) if opening is None else asks.join(shuffled(opening.withColumn("opens", F.lit(True))), ["side", "q", "term"], "left").na.fill(False, ["opens"])
     asked = written(asks.select("side", "q", "term", "rows", "d", "most", "opens", F.sum("most").over(up).alias("reach")).where("opens"), "asked")
     theirs = postings.select(other, "term", F.col("q").alias("d"))
     # the rarest term alone, and of each term the class that says most of it: the best whole score of these is a lower
     # bound of the best
     rare = asked.groupBy("side", "q").agg(F.min_by("term", F.struct("rows", "term")).alias("term"))
-    first = rare.join(theirs, ["side", "term"]).select("side", "q", "d").unionByName(asked.select("side", "q", "d"))
+    first = rare.join(shuffled(theirs), ["side", "term"]).select("side", "q", "d").unionByName(asked.select("side", "q", "d"))
     bound = scores(_ahead(first), postings)
     both = bound.select(F.lit(0).alias("side"), F.col("g").alias("q"), "score").unionByName(bound.select(F.lit(1).alias("side"), F.col("c").alias("q"), "score"))
     least = both.groupBy("side", "q").agg(F.max("score").alias("bound"))
-    essential = asked.join(least, ["side", "q"]).where(F.col("reach") >= F.col("bound") * NEAR)
-    return _ahead(essential.select("side", "q", "term").join(theirs, ["side", "term"]).select("side", "q", "d"))
+    essential = asked.join(shuffled(least), ["side", "q"]).where(F.col("reach") >= F.col("bound") * NEAR)
+    return _ahead(essential.select("side", "q", "term").join(shuffled(theirs), ["side", "term"]).select("side", "q", "d"))
 
 
 def _ahead(pairs: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def _ahead(pairs: DataFrame) -> DataFrame:
 def scores(pairs: DataFrame, postings: DataFrame) -> DataFrame:
     """Whole BM25 scores of pairs (g, c): the terms of both are met, so no list is read again as a whole."""
     bag = lambda side, q, name: postings.where(f"side = {side}").groupBy(F.col("q").alias(q)).agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("gain").cast("float").alias("gain")))).alias(name))
-    met = pairs.join(bag(0, "g", "left_gains"), "g").join(bag(1, "c", "right_gains"), "c")
+    met = pairs.join(shuffled(bag(0, "g", "left_gains")), "g").join(shuffled(bag(1, "c", "right_gains")), "c")
     shared = F.aggregate(F.map_entries("left_gains"), F.lit(0.0), lambda s, e: s + e["value"].cast("double") * F.coalesce(F.try_element_at("right_gains", e["key"]).cast("double"), F.lit(0.0)))
     return met.select("g", "c", shared.alias("score"))
 
@@ -259,8 +259,8 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     each = classes.select("side", "q", ((K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / mean))).alias("norm"), F.explode(F.transform("terms", lambda t: F.xxhash64(t))).alias("term"))  # eight bytes for a term
     sizes = members.groupBy("side", "q").agg(F.count("*").alias("m"))
     rows_n = members.count()
-    weights = each.join(sizes, ["side", "q"]).groupBy("term").agg(F.sum("m").alias("n")).select("term", (F.log(1 + (rows_n - F.col("n") + 0.5) / (F.col("n") + 0.5)) if weighed else F.lit(1.0)).alias("idf"))
-    postings = written(each.join(weights, "term").select("side", "q", "term", F.sqrt(F.col("idf") * F.col("norm")).alias("gain")), "postings")
+    weights = each.join(shuffled(sizes), ["side", "q"]).groupBy("term").agg(F.sum("m").alias("n")).select("term", (F.log(1 + (rows_n - F.col("n") + 0.5) / (F.col("n") + 0.5)) if weighed else F.lit(1.0)).alias("idf"))
+    postings = written(each.join(shuffled(weights), "term").select("side", "q", "term", F.sqrt(F.col("idf") * F.col("norm")).alias("gain")), "postings")
     bag_of, bags = _bags(postings)
     cost_of = _cost(model)
     pairs = written(_candidates(bags, _opening(classes, weights, bag_of, cost_of)), "pairs")
@@ -268,22 +268,22 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     # pairs stay thin and between bags until few are left: an office is the hash of its telling words; a bag of several
     # offices is an office of its own whose members are as near as it is
     telling = F.xxhash64(F.concat_ws(" ", F.filter("words", lambda w: cost_of(w) < FOREIGN)))
-    offices = classes.select("side", "q", telling.alias("o")).join(bag_of, ["side", "q"]).groupBy("side", "bag").agg(F.min("o").alias("o"), (F.min("o") != F.max("o")).alias("several"))
+    offices = classes.select("side", "q", telling.alias("o")).join(shuffled(bag_of), ["side", "q"]).groupBy("side", "bag").agg(F.min("o").alias("o"), (F.min("o") != F.max("o")).alias("several"))
     office = lambda side, p: offices.where(f"side = {side}").select(F.col("bag").alias(p), F.when(F.col("several"), F.xxhash64(F.lit("several"), "bag")).otherwise(F.col("o")).alias(f"{p}_office"), F.col("several").alias(f"{p}_several"))
-    scored = written(scores(pairs, bags).join(office(0, "g"), "g").join(office(1, "c"), "c"), "scored")
-    told = scored.join(_gaps(scored, "g", "c_office", "g_other"), ["g", "c_office"]).join(_gaps(scored, "c", "g_office", "c_other"), ["c", "g_office"])
+    scored = written(scores(pairs, bags).join(shuffled(office(0, "g")), "g").join(shuffled(office(1, "c")), "c"), "scored")
+    told = scored.join(shuffled(_gaps(scored, "g", "c_office", "g_other")), ["g", "c_office"]).join(shuffled(_gaps(scored, "c", "g_office", "c_other")), ["c", "g_office"])
     told = told.withColumns({"g_other": F.when(F.col("c_several"), F.greatest("g_other", "score")).otherwise(F.col("g_other")), "c_other": F.when(F.col("g_several"), F.greatest("c_other", "score")).otherwise(F.col("c_other"))})
     if mutual:  # and told apart from others on one side at least
         near = (F.col("score") >= NEAREST * F.col("g_other")) & (F.col("score") >= NEAREST * F.col("c_other"))
         told = told.where(near & ((F.col("score") > F.col("g_other")) | (F.col("score") > F.col("c_other"))))
     near_bags = written(told.select(F.col("g").alias("g_bag"), F.col("c").alias("c_bag"), "score", "g_other", "c_other"), "near")
     inside = lambda side, p: bag_of.where(f"side = {side}").select(F.col("bag").alias(f"{p}_bag"), F.col("q").alias(p))
-    told = near_bags.join(inside(0, "g"), "g_bag").join(inside(1, "c"), "c_bag").drop("g_bag", "c_bag")
+    told = near_bags.join(shuffled(inside(0, "g")), "g_bag").join(shuffled(inside(1, "c")), "c_bag").drop("g_bag", "c_bag")
     of = lambda side, p: classes.where(f"side = {side}").select(F.col("q").alias(p), F.col("terms").alias(f"{p}_terms"), F.col("words").alias(f"{p}_words"))
     most = postings.groupBy("side", "q").agg(F.sum(F.col("gain") * F.col("gain")).alias("most"))
     side = lambda k, p: most.where(f"side = {k}").select(F.col("q").alias(p), F.col("most").alias(f"{p}_most"))
     stated = members.where("side = 0").groupBy(F.col("q").alias("g")).agg(F.coalesce(F.avg("sure"), F.lit(50.0)).alias("sure"))
-    told = told.join(of(0, "g"), "g").join(side(0, "g"), "g").join(stated, "g").join(of(1, "c"), "c").join(side(1, "c"), "c")
+    told = told.join(shuffled(of(0, "g")), "g").join(shuffled(side(0, "g")), "g").join(shuffled(stated), "g").join(shuffled(of(1, "c")), "c").join(shuffled(side(1, "c")), "c")
     digits = lambda a: F.filter(a, lambda w: w.rlike("^[0-9]+$"))
     # other offices below NEAR are not looked at, so that gaps end there
     gap = lambda other: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("score") - F.col(other)) / F.col("score") / (1 - NEAR)))
@@ -299,11 +299,12 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     # labels: a class whose rows name a record, and one whose words are those of an official name
     meaning = greenbook.select(F.col("enrichment_id").cast("long").alias("id"), F.lower(F.trim("entity_id")).alias("e")).where("id is not null and e is not null").distinct()
     plain = official.withColumn("office", F.array_join(F.array_sort(F.array_distinct(F.filter("words", lambda w: ~w.isin(*EMPTY)))), " "))
-    truth = meaning.join(registry.select(F.col("id").alias("e"), F.col("name").alias("form")), "e").join(plain, "form").join(members.where("side = 0").select("id", F.col("q").alias("g")), "id").groupBy("g").agg(F.min("office").alias("meant"))
+    truth = meaning.join(shuffled(registry.select(F.col("id").alias("e"), F.col("name").alias("form"))), "e").join(shuffled(plain), "form").join(shuffled(members.where("side = 0").select("id", F.col("q").alias("g"))), "id").groupBy("g").agg(F.min("office").alias("meant"))
     exact = plain.select(F.col("office").alias("said")).distinct()
     columns = ["share", "g_gap", "c_gap", "foreign", "sure"]
-    labelled = told.withColumn("said", F.array_join("c_words", " ")).join(truth, "g").join(exact, "said", "left_semi").orderBy(F.xxhash64("g", "c"), "g", "c").limit(LABELLED_PAIRS)
-    got = np.array([list(r) for r in labelled.select(*columns, (F.col("meant") == F.col("said")).cast("double")).collect()], float).reshape(-1, len(columns) + 1)
+    labelled = told.withColumn("said", F.array_join("c_words", " ")).join(shuffled(truth), "g").join(shuffled(exact), "said", "left_semi").orderBy(F.xxhash64("g", "c"), "g", "c").limit(LABELLED_PAIRS)
+    labels = written(labelled.select(*columns, (F.col("meant") == F.col("said")).cast("double").alias("same")), "labels")  # cut to the limit in an executor
+    got = np.array([list(r) for r in labels.collect()], float).reshape(-1, len(columns) + 1)
     w = fit_logistic(got[:, :-1], got[:, -1]) if calibrated else PRIOR
     z = F.lit(float(w[0]))
     for k, c in enumerate(columns):
@@ -314,4 +315,4 @@ def match_offices(greenbook: DataFrame, contacts: DataFrame, registry: DataFrame
     reach = F.exists(F.array_intersect("g_terms", "c_terms"), _is_contact)
     agreed = sure.where(numbers & ((foreign == 0) | ((foreign == 1) & reach))).select("g", "c", "confidence")
     row = lambda k, p, name: members.where(f"side = {k}").select(F.col("q").alias(p), F.col("id").alias(name))
-    return agreed.join(row(0, "g", "enrichment_id"), "g").join(row(1, "c", "contact_id"), "c").select("enrichment_id", "contact_id", "confidence")
+    return agreed.join(shuffled(row(0, "g", "enrichment_id")), "g").join(shuffled(row(1, "c", "contact_id")), "c").select("enrichment_id", "contact_id", "confidence")

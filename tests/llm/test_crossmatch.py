@@ -1,8 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from plumbline.llm import crossmatch
-from plumbline.session import table
+from plumbline.llm import crossmatch, lexicon, names
+from plumbline.session import table, written
 
 G = "enrichment_id long, entity_id string, agency_name string, confidence_score double, contact_details array<struct<type:string,value:string,note:string>>, web_candidates array<string>"
 C = "contact_id long, agency string, agency_contact_url string, phone string, address_line_1 string, city string, zip string"
@@ -101,3 +101,15 @@ def test_logistic():
     w = crossmatch.fit_logistic(x, y, np.zeros(4))
     assert np.all(np.sign(w[1:]) == [1, -1, 1])
     assert (crossmatch.fit_logistic(np.ones((500, 5)), np.ones(500)) == crossmatch.PRIOR).all()
+
+
+def test_nothing_that_grows_goes_to_the_driver(spark, monkeypatch):
+    plans = {}
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for m in (crossmatch, lexicon, names):
+        monkeypatch.setattr(m, "written", lambda df, name: plans.update({name: plan(df)}) or written(df, name))
+    g = spark.createDataFrame([(1, "foobarville-ha", "Foobarville Housing Authority", None, addr("1 Main St", "Foobarville"), [])], G)
+    c = spark.createDataFrame([(12, "Foobarville Housing Authority", None, None, "1 Main Street", None, "12345")], C)
+    plans["result"] = plan(crossmatch.match_offices(g, c, spark.createDataFrame(REG, "id string, name string")))
+    assert [n for n, p in plans.items() if "Broadcast" in p] == []
+    assert all("TakeOrderedAndProject" in plans[n] for n in ("labelled", "labels"))
