@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import lexicon, names
-from plumbline.session import table
+from plumbline.session import table, written
 
 REG = [("foo-hd", "Foobarville Housing Authority"), ("foo-pd", "Foobarville Parking Authority"), ("nfoo-hd", "North Foobarville Housing Authority"), ("bar-hd", "Quuxholm Housing Authority"), ("t", "Town of Foobarville"), ("w1", "Quuxholm Water District No. 1"), ("w2", "Quuxholm Water District No. 2"), ("prd", "Quuxholm Parks and Recreation Department"), ("twin1", "Twinham Public Library"), ("twin2", "Twinham Public Library"), ("court", "Saratoga Springs City Court"), ("kirov", "Библиотека Кирова"), ("long", "Regional Board for the Care of Old Mill Race Canals and Weirs"), (None, "X"), ("bad", None)]
 SHORT = {"long": "VIDA", "foo-hd": "FHA", "bar-hd": "QHA", "w1": "QWD", "w2": "QWD", "t": " "}
@@ -82,3 +82,14 @@ def test_odd_names(name):
     words = lexicon.read(name)
     lexicon.Channel().score(lexicon.content(name), words)
     lexicon.Common(["housing", "authority"], ["housing authority"]).stands_for(words[0] if words else "")
+
+
+def test_nothing_that_grows_goes_to_the_driver(spark, registry, monkeypatch):
+    plans = {}
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for m in (lexicon, names):
+        monkeypatch.setattr(m, "written", lambda df, name: plans.update({name: plan(df)}) or written(df, name))
+    rows = spark.createDataFrame([(1, "Fobarville Housing Authority", "foo-hd")], "row long, typed string, meant string")
+    plans["result"] = plan(names.link_variants(rows, rows, registry, "row", "typed", "meant", "id", ["name", "short"]))
+    assert [n for n, p in plans.items() if "Broadcast" in p] == []
+    assert "TakeOrderedAndProject" in plans["labelled"]
